@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import chat, decontam, simhash
+from trailmark.llm import chat, decontam, langid, packing, quality, simhash, topk
 from trailmark.llm.common import table
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled = F.transform("embedding", lambda x: F.lit(1024.0) * x.cast("double"))
+    # non-finite components, and what no 64-bit integer holds, leave a null: such vectors take no part
+    whole = F.transform(scaled, lambda y: F.when(F.abs(y) < 2.0**63, F.floor(F.when(F.abs(y) < 2.0**63, y))))
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("weights"))
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -39,16 +47,43 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs), ["doc_id"])
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.measured(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
+    "op1_topk": op1_topk,
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
     "op6_chat": op6_chat,
+    "op7_quality": op7_quality,
+    "op9_language": op9_language,
+    "op10_packing": op10_packing,
 }
 
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS4 = "regexp_extract_all(" + _ASCII_LOWER.format("coalesce(text, '')") + r", '[0-9a-z\x{80}-\x{10FFFF}]+')"
 
 ORACLES = {
+    "op1_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10""",
     "op4_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS4} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS4} AS w FROM benchmark),
