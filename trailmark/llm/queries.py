@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import chat, decontam, langid, packing, quality, simhash, topk
+from trailmark.llm import chat, decontam, html_main, langid, packing, quality, simhash, topk, warc
 from trailmark.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -52,6 +56,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")), ["doc_id"])
 
 
+#: The pages carry no date of their own.
+CRAWL_DATE = "2020-01-01T00:00:00Z"
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.derivatives(warc.responses(table(spark, sf_dir, "pages"), CRAWL_DATE))
+    return out.withColumnRenamed("source_seq", "page_id").withColumns({"n_chars": F.char_length("block").cast("long"), "block_sha256": F.sha2("block", 256)}).drop("block")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs), ["doc_id"])
@@ -63,10 +76,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk": op1_topk,
+    "op2_main_text": op2_main_text,
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
     "op6_chat": op6_chat,
     "op7_quality": op7_quality,
+    "op8_warc": op8_warc,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
 }
