@@ -8,15 +8,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailmark.plans.shared import ship
+
 #: Arrow batches are cut by bytes as well as by rows, so that very long texts stay within a worker's memory.
 ARROW_ROWS, ARROW_BYTES = "2000", str(16 << 20)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def small_batches(spark: SparkSession) -> None:
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 

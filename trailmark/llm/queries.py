@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import chat, decontam, html_main, langid, packing, quality, simhash, topk, warc
+from trailmark.llm import chat, decontam, html_main, langid, lm, packing, quality, simhash, topk, warc
 from trailmark.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -77,6 +81,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_main_text": op2_main_text,
+    "op3_lm": op3_lm,
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
     "op6_chat": op6_chat,
