@@ -33,7 +33,7 @@ BLOCK_BYTES = 2 << 20
 #: A-Z become a-z; every other ASCII character but digits and letters parts words.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, item_ids array<string>, hit_spans array<struct<start:int,end:int>>"
+FOUND = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, item_ids array<string>, hit_spans array<struct<start:int,end:int>>"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -93,18 +93,19 @@ def _document_frequency(docs: DataFrame, vocabularies: list) -> dict[bytes, int]
         if total:
             yield pa.RecordBatch.from_pydict({"word": list(total), "n": list(total.values())}, schema=pa.schema([("word", pa.binary()), ("n", pa.int64())]))
 
-    rows = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = docs.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {bytes(r["word"]): r["n"] for r in rows.toLocalIterator()}
 
 
-def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document with its hit words and the items it holds windows of.
+def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: ``keep`` columns, its hit words and the items it holds windows of.
 
     Null and empty texts, of documents or items, have no words: such documents
     are never contaminated, such items never found.  Repeated documents are
     each reported; an item id that occurs twice counts once, with the windows of
     both texts; a null item id is the text ``null``.  An empty benchmark marks nothing.  Extra columns
-    of either table are ignored.
+    of either table are ignored; a column of ``keep`` that is named like a new one
+    is replaced by it.
     """
     small_batches(spark)
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -117,13 +118,15 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
         block = [(r["item"], words_of(r["text"].encode())) for r in dealt.where(F.col("block") == b).toLocalIterator()]
         vocabularies.append(sc.broadcast({w for _, words in block for w in words}))
         blocks.append(sc.broadcast(block))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seen_in = sc.broadcast(_document_frequency(docs, vocabularies))
+    new = [x.split()[0] for x in FOUND.split(", ")]
+    rows = docs.select(*[c for c in keep if c not in new], F.col("text").alias("_text"))
+    kept = rows.schema.fields[:-1]
+    seen_in = sc.broadcast(_document_frequency(rows.select("_text"), vocabularies))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = index_block(blocks[0].value, seen_in.value, width)
         for batch in batches:
-            texts = [words_of(x) for x in raw(batch.column(1))]
+            texts = [words_of(x) for x in raw(batch.column(len(kept)))]
             hits, found = [bytearray(len(w)) for w in texts], [set() for _ in texts]
             for b, block in enumerate(blocks):
                 if b or len(blocks) > 1:
@@ -134,7 +137,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
             n_hit = [sum(h) for h in hits]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *batch.columns[:-1],
                     pa.array([len(w) for w in texts], pa.int64()),
                     pa.array(n_hit, pa.int64()),
                     pa.array([len(x) for x in ids], pa.int64()),
@@ -143,7 +146,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
                     pa.array(ids, pa.list_(pa.string())),
                     pa.array([_spans(h) for h in hits], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                 ],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "item_ids", "hit_spans"],
+                names=[*(f.name for f in kept), *new],
             )
 
-    return docs.mapInArrow(mark, SCHEMA)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept) + FOUND
+    return rows.mapInArrow(mark, schema)

@@ -38,19 +38,26 @@ _LANES = np.uint64(0x0101010101010101)
 _SHIFTS = [np.uint64(b) for b in range(8)]
 
 
-def fingerprint(text: bytes, width: int = 4) -> int:
-    """SimHash of the shingles of ``width`` words, repeats included, as an unsigned number."""
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """XXH64 of the shingles of ``width`` words, repeats included; of the whole sequence, if it has fewer; nothing without words."""
     words = text.lower().split()  # bytes: only A-Z change, only ASCII white space parts
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(words)
     h = xxhash.xxh64_intdigest
     if len(words) <= width:
-        return h(line, SEED)
+        return np.array([h(line, SEED)], dtype=np.uint64)
     ends = [x - 1 for x in accumulate(len(w) + 1 for w in words)]
     starts = [0] + [x + 1 for x in ends]
-    hashes = np.array([h(line[a:b], SEED) for a, b in zip(starts, ends[width - 1 :])], dtype=np.uint64)
+    return np.array([h(line[a:b], SEED) for a, b in zip(starts, ends[width - 1 :])], dtype=np.uint64)
+
+
+def fingerprint(text: bytes, width: int = 4) -> int:
+    """SimHash of the shingles of ``width`` words, repeats included, as an unsigned number; 0 without words."""
+    hashes = shingle_hashes(text, width)
     n = len(hashes)
+    if n < 2:
+        return int(hashes[0]) if n else 0
     rows = np.zeros(-(-n // 255) * 255, dtype=np.uint64)
     rows[:n] = hashes
     rows = rows.reshape(-1, 255)  # the sums of 255 rows fit into the eight bits of a lane
@@ -179,3 +186,130 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, bucket_row
     roots = least.select(F.col("root").alias("fp"), F.col("component_id").alias("of_root"))
     label = named.unionAll(roots)
     return rows.join(label, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("of_root").alias("component_id"))
+
+
+# --- one document of each group of near copies ------------------------------------------------------------------------
+#
+# Copies whose sets of five-word shingles are 0.8 alike differ by 4 to 18 bits of 64 in a SimHash of those shingles, far
+# beyond a radius that can be covered.  The SimHash of single words barely moves under such edits (98 % of such pairs are
+# within 4 bits), but is close for many unrelated texts too.  So the covering tables are built on the word fingerprint,
+# each bucket is further parted by the least shingle hash under one of KEYS permutations, and a link needs, besides the
+# radius, the similarity itself as told by SKETCH one-bit minimum hashes of the five-word shingles.
+
+KEYS, SKETCH = 2, 128
+_PERMUTE = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
+
+
+def most_differing(similarity: float) -> int:
+    """Sketch bits that may differ: what is expected at ``similarity`` and 2.4 standard deviations."""
+    p = (1 - similarity) / 2
+    return int(SKETCH * p + 2.4 * (SKETCH * p * (1 - p)) ** 0.5)
+
+
+def sketch(text: bytes, width: int = 5) -> tuple[int, list[int], list[int]]:
+    """(word fingerprint, KEYS least hashes, SKETCH bits in words of 64) of a text; zeros without words."""
+    h = shingle_hashes(text, width)
+    if not len(h):
+        return 0, [0] * KEYS, [0] * (SKETCH // 64)
+    keys = [int((h * m).min()) for m in _PERMUTE[:KEYS]]
+    order = np.sort(h * _PERMUTE[2])
+    bins = (order >> np.uint64(57)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
+    full, least = bins[first], order[first]
+    values = least[np.searchsorted(full, np.arange(SKETCH)) % len(full)]  # an empty bin borrows from the next full one
+    bits = ((values * _PERMUTE[0]) >> np.uint64(63)).astype(np.uint8)
+    return fingerprint(text, 1), keys, np.packbits(bits).view(np.uint64).tolist()
+
+
+def _sketch_links(radius: int, differing: int):
+    """Over rows (bucket, node, fp, a, b) sorted by bucket: links of a spanning forest of each bucket."""
+    kind = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        d = x ^ y
+        return (np.bitwise_count(d[1]) <= radius) & (np.bitwise_count(d[2]).astype(np.int64) + np.bitwise_count(d[3]) <= differing)
+
+    def forest(rest: np.ndarray) -> tuple[list, list]:
+        src, dst = [], []
+        while rest.shape[1] > 1:
+            todo, rest = [rest[:, :1]], rest[:, 1:]
+            while todo and rest.shape[1]:
+                at = todo.pop()
+                ok = near(rest, at)
+                if ok.any():
+                    new = rest[:, ok]
+                    src.append(np.full(new.shape[1], at[0, 0])), dst.append(new[0])
+                    todo.extend(new[:, i : i + 1] for i in range(new.shape[1]))
+                    rest = rest[:, ~ok]
+        return src, dst
+
+    def links(keys: np.ndarray, rows: np.ndarray) -> pa.RecordBatch | None:
+        cuts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
+        sizes = np.diff(cuts)
+        pairs = cuts[:-1][sizes == 2]
+        a, b = rows[:, pairs], rows[:, pairs + 1]
+        ok = near(a, b)
+        src, dst = [a[0][ok]], [b[0][ok]]
+        for at in np.flatnonzero(sizes > 2).tolist():
+            x, y = forest(rows[:, cuts[at] : cuts[at + 1]])
+            src += x
+            dst += y
+        s, d = np.concatenate(src), np.concatenate(dst)
+        both = np.unique(np.stack([np.minimum(s, d), np.maximum(s, d)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0].view(np.int64)), pa.array(both[1].view(np.int64))], schema=kind) if both.size else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, rows = np.empty(0, np.int64), np.empty((4, 0), np.uint64)
+        for batch in batches:
+            keys = np.concatenate([keys, batch.column(0).to_numpy()])
+            rows = np.concatenate([rows, np.stack([batch.column(i).to_numpy().view(np.uint64) for i in range(1, 5)])], axis=1)
+            last = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+            if last:
+                out = links(keys[:last], rows[:, :last])
+                keys, rows = keys[last:], rows[:, last:]
+                if out is not None:
+                    yield out
+        if len(keys) and (out := links(keys, rows)) is not None:
+            yield out
+
+    return run
+
+
+def one_of_each(docs: DataFrame, width: int = 5, radius: int = 4, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``docs`` without all but one document of each group of near copies.
+
+    The first row of a group stays.  Texts without words are copies of one
+    another, as are equal texts; a null text counts as empty.  Columns are
+    handed on as they are, whatever else they are called; an empty table stays
+    empty.
+    """
+    spark = docs.sparkSession
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    rows = numbered.select("_row", F.col("text").alias("_text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        made = [sketch(x, width) for x in raw(batch.column(1))]
+        u = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
+        cols = [u([m[0] for m in made]), *(u([m[1][j] for m in made]) for j in range(KEYS)), *(u([m[2][j] for m in made]) for j in range(2))]
+        return pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["row", "fp", "k0", "k1", "a", "b"])
+
+    told = stored(map_arrow(rows, run, "row long, fp long, k0 long, k1 long, a long, b long"), "sketches")
+    same = ["fp", "k0", "k1", "a", "b"]
+    nodes = stored(told.groupBy(*same).agg(F.min("row").alias("node")), "nodes")  # equal texts are one node
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
+    keyed = nodes.select("node", "fp", "a", "b", F.explode(F.array(*(F.xxhash64(F.lit(j), f"k{j}") for j in range(KEYS)))).alias("key"))
+    # a bucket cannot hold more nodes than its key has, so the few crowded keys tell which buckets to cut
+    crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("chunks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    cells = F.when(F.col("chunks").isNull(), F.array("key")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.xxhash64("key", F.least(F.col("mine"), j), F.greatest(F.col("mine"), j)))
+    )
+    split = keyed.join(crowded, "key", "left").withColumn("mine", mine).select("node", "fp", "a", "b", F.explode(cells).alias("cell"))
+    tables = F.array(*(F.xxhash64("cell", F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(covering_masks(radius))))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = split.select(F.explode(tables).alias("bucket"), "node", "fp", "a", "b").repartition(n, "bucket").sortWithinPartitions("bucket")
+    links = buckets.mapInArrow(_sketch_links(radius, most_differing(similarity)), "src long, dst long")
+    groups = connected_components(links)
+    later = groups.where("node <> component").select("node")
+    first = nodes.join(later, "node", "left_anti").select(F.col("node").alias("_row"))
+    return numbered.join(first, "_row", "left_semi").select(*docs.columns)
