@@ -25,6 +25,8 @@ from trailmark.plans.shared import forget, stored
 
 #: Candidate pairs of undecided cells above which the components found so far are used to drop most of them.
 MANY_PAIRS = 20_000_000
+#: Links between cells up to which one task, of some 20 MB, finds the components.
+FEW_LINKS = 500_000
 
 #: Half of the neighbouring cells within two steps on each axis; the other half is met from the other side.
 _OFFSETS = [d for d in itertools.product(range(-2, 3), repeat=3) if d > (0, 0, 0)]
@@ -59,7 +61,7 @@ def spatial_components(points: DataFrame, e_dist: float) -> DataFrame:
     heads = nodes.groupBy(*cell).agg(F.min_by(F.struct("node", "lat", "lon"), "node").alias("h"), F.count("*").alias("n"))
     heads = heads.select(*cell, F.col("h.node").alias("head"), F.col("h.lat").alias("hlat"), F.col("h.lon").alias("hlon"), "n")
     busy = heads.join(heads.groupBy("block").agg(F.count("*").alias("_c")).where("_c > 1"), "block", "left_semi")  # other blocks have one cell only
-    offsets = F.array(*(F.struct(*(F.lit(v).cast("long").alias(n) for v, n in zip(d, ("dx", "dy", "dz")))) for d in _OFFSETS))
+    offsets = F.expr("array(" + ", ".join("named_struct('dx', {}L, 'dy', {}L, 'dz', {}L)".format(*d) for d in _OFFSETS) + ")")
     left = busy.select(*cell, "head", "hlat", "hlon", "n", F.explode(offsets).alias("d"))
     left = left.select("block", (F.col("cx") + F.col("d.dx")).alias("cx"), (F.col("cy") + F.col("d.dy")).alias("cy"), (F.col("cz") + F.col("d.dz")).alias("cz"), F.col("head").alias("a"), F.col("hlat").alias("alat"), F.col("hlon").alias("alon"), F.col("n").alias("an"))
     pairs = stored(left.join(busy.select(*cell, F.col("head").alias("b"), F.col("hlat").alias("blat"), F.col("hlon").alias("blon"), F.col("n").alias("bn")), cell), "cellpairs")
@@ -74,7 +76,7 @@ def spatial_components(points: DataFrame, e_dist: float) -> DataFrame:
     volume = open_.agg(F.sum(F.col("an") * F.col("bn"))).first()[0] or 0
     if volume:
         if volume > MANY_PAIRS:
-            so_far = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+            so_far = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), few=FEW_LINKS)
             label = lambda side: open_label.join(so_far.select(F.col("node").alias(side), F.col("component").alias(f"{side}_of")), side, "left").withColumn(f"{side}_of", F.coalesce(f"{side}_of", side))
             open_label = open_
             for side in ("a", "b"):
@@ -89,7 +91,7 @@ def spatial_components(points: DataFrame, e_dist: float) -> DataFrame:
         more = stored(links.unionAll(full), "celllinks")
         forget(links)
         links = more
-    groups = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    groups = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), few=FEW_LINKS)
     labelled = nodes.join(heads.select(*cell, "head"), cell).join(groups, F.col("head") == groups["node"], "left")
     out = stored(labelled.select("block", "lat", "lon", F.coalesce("component", "head").alias("label")), "spatial")
     for used in (pairs, links):
@@ -279,7 +281,9 @@ def iterative_clustering(df: DataFrame, e_dist: float, e_days: float, max_iter:
     _positive(e_dist=e_dist, e_days=e_days)
     if max_iter == 0:
         return df
-    final = refine(_points(df), e_dist, e_days, max_iter)
+    points = stored(_points(df), "points")
+    final = refine(points, e_dist, e_days, max_iter)
+    forget(points)
     by_key = final.select("id", "lat", "lon", "day", F.col("spatial_key").alias("block"))
     time = by_time(by_key, e_days).select("id", F.col("block").alias("temporal_cluster_id"))
     dense = dense_ids(final.select("block"), ["block"], "spatiotemporal_cluster_id")
