@@ -19,7 +19,7 @@ endings, it is their smoothed share of the class.  With one unseen type in every
 class of rare words the model sums to one.
 
 Counts are exact and cover the whole training corpus: tasks count words into
-bounded dictionaries, Spark sums them.  Only the ``DICTIONARY`` most frequent
+bounded dictionaries, Spark sums them.  Only the some ``DICTIONARY`` most frequent
 words, of at most 64 bytes each, and the weights, of fixed size, are ever sent
 to all tasks; every other word meets its count in a shuffled join.
 """
@@ -165,10 +165,27 @@ def _classes(words: list[bytes], counts: np.ndarray) -> np.ndarray:
     return np.minimum((mass - counts / max(counts.sum(), 1) / 2) * HEAD_CLASSES, HEAD_CLASSES - 1).astype(np.int64)
 
 
+def _most_frequent(vocabulary: DataFrame) -> list[tuple[bytes, int]]:
+    """The ``DICTIONARY`` most frequent words and their counts, or somewhat fewer: of words that the last place is too
+    small for, all within 2 % of one another, none is taken.  So no task has to send the driver more than it needs."""
+    level = F.floor(F.log2("c") * 48).cast("int")  # some thousand levels, whatever the corpus
+    sizes = vocabulary.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    room, least = DICTIONARY, None
+    for r in sizes:
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["level"]
+    if least is None:
+        return []
+    found = [(bytes(r["word"]), r["c"]) for r in vocabulary.where(level >= least).collect()]
+    return sorted(found, key=lambda x: (-x[1], x[0]))
+
+
 def start(vocabulary: DataFrame) -> tuple[Model, int, int]:
     """A model of exact unigram counts, and N and V."""
     n, v = (x or 0 for x in vocabulary.agg(F.sum("c"), F.count("*")).first())
-    top = [(bytes(r["word"]), r["c"]) for r in vocabulary.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(DICTIONARY).collect()]
+    top = _most_frequent(vocabulary.where(F.octet_length("word") <= LONGEST))
     words, counts = [w for w, _ in top], np.array([c for _, c in top], np.float64)
     head = min(HEAD - 1, len(words))
     klass = np.array([tail_class(w) + HEAD_CLASSES for w in words] + [0], np.int64)
