@@ -196,14 +196,16 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, bucket_row
 # each bucket is further parted by the least shingle hash under one of KEYS permutations, and a link needs, besides the
 # radius, the similarity itself as told by SKETCH one-bit minimum hashes of the five-word shingles.
 
-KEYS, SKETCH = 2, 128
+KEYS, SKETCH = 2, 512
 _PERMUTE = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
+_BINS = np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+_PARTS = [f"s{i}" for i in range(SKETCH // 64)]
 
 
 def most_differing(similarity: float) -> int:
-    """Sketch bits that may differ: what is expected at ``similarity`` and 2.4 standard deviations."""
+    """Sketch bits that may differ: what is expected at ``similarity`` and 1.65 standard deviations."""
     p = (1 - similarity) / 2
-    return int(SKETCH * p + 2.4 * (SKETCH * p * (1 - p)) ** 0.5)
+    return int(SKETCH * p + 1.65 * (SKETCH * p * (1 - p)) ** 0.5)
 
 
 def sketch(text: bytes, width: int = 5) -> tuple[int, list[int], list[int]]:
@@ -213,21 +215,21 @@ def sketch(text: bytes, width: int = 5) -> tuple[int, list[int], list[int]]:
         return 0, [0] * KEYS, [0] * (SKETCH // 64)
     keys = [int((h * m).min()) for m in _PERMUTE[:KEYS]]
     order = np.sort(h * _PERMUTE[2])
-    bins = (order >> np.uint64(57)).astype(np.int64)
+    bins = (order >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
     full, least = bins[first], order[first]
     values = least[np.searchsorted(full, np.arange(SKETCH)) % len(full)]  # an empty bin borrows from the next full one
-    bits = ((values * _PERMUTE[0]) >> np.uint64(63)).astype(np.uint8)
+    bits = (((values ^ _BINS) * _PERMUTE[0]) >> np.uint64(63)).astype(np.uint8)  # a value gives other bits in other bins
     return fingerprint(text, 1), keys, np.packbits(bits).view(np.uint64).tolist()
 
 
 def _sketch_links(radius: int, differing: int):
-    """Over rows (bucket, node, fp, a, b) sorted by bucket: links of a spanning forest of each bucket."""
+    """Over rows (bucket, node, fp, sketch words) sorted by bucket: links of a spanning forest of each bucket."""
     kind = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         d = x ^ y
-        return (np.bitwise_count(d[1]) <= radius) & (np.bitwise_count(d[2]).astype(np.int64) + np.bitwise_count(d[3]) <= differing)
+        return (np.bitwise_count(d[1]) <= radius) & (np.bitwise_count(d[2:]).sum(axis=0, dtype=np.int64) <= differing)
 
     def forest(rest: np.ndarray) -> tuple[list, list]:
         src, dst = [], []
@@ -259,10 +261,10 @@ def _sketch_links(radius: int, differing: int):
         return pa.RecordBatch.from_arrays([pa.array(both[0].view(np.int64)), pa.array(both[1].view(np.int64))], schema=kind) if both.size else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, rows = np.empty(0, np.int64), np.empty((4, 0), np.uint64)
+        keys, rows = np.empty(0, np.int64), np.empty((2 + len(_PARTS), 0), np.uint64)
         for batch in batches:
             keys = np.concatenate([keys, batch.column(0).to_numpy()])
-            rows = np.concatenate([rows, np.stack([batch.column(i).to_numpy().view(np.uint64) for i in range(1, 5)])], axis=1)
+            rows = np.concatenate([rows, np.stack([batch.column(i).to_numpy().view(np.uint64) for i in range(1, batch.num_columns)])], axis=1)
             last = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
             if last:
                 out = links(keys[:last], rows[:, :last])
@@ -284,32 +286,35 @@ def one_of_each(docs: DataFrame, width: int = 5, radius: int = 4, similarity: fl
     empty.
     """
     spark = docs.sparkSession
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    rows = numbered.select("_row", F.col("text").alias("_text"))
+    own = "_row"
+    while own in docs.columns:
+        own += "_"
+    numbered = docs.withColumn(own, F.monotonically_increasing_id())
+    rows = numbered.select(own, F.col("text").alias("_text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [sketch(x, width) for x in raw(batch.column(1))]
         u = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
-        cols = [u([m[0] for m in made]), *(u([m[1][j] for m in made]) for j in range(KEYS)), *(u([m[2][j] for m in made]) for j in range(2))]
-        return pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["row", "fp", "k0", "k1", "a", "b"])
+        cols = [u([m[0] for m in made]), *(u([m[1][j] for m in made]) for j in range(KEYS)), *(u([m[2][j] for m in made]) for j in range(len(_PARTS)))]
+        return pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["row", *same])
 
-    told = stored(map_arrow(rows, run, "row long, fp long, k0 long, k1 long, a long, b long"), "sketches")
-    same = ["fp", "k0", "k1", "a", "b"]
+    same = ["fp", *(f"k{j}" for j in range(KEYS)), *_PARTS]
+    told = stored(map_arrow(rows, run, ", ".join(f"{c} long" for c in ["row", *same])), "sketches")
     nodes = stored(told.groupBy(*same).agg(F.min("row").alias("node")), "nodes")  # equal texts are one node
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
-    keyed = nodes.select("node", "fp", "a", "b", F.explode(F.array(*(F.xxhash64(F.lit(j), f"k{j}") for j in range(KEYS)))).alias("key"))
+    keyed = nodes.select("node", "fp", *_PARTS, F.explode(F.array(*(F.xxhash64(F.lit(j), f"k{j}") for j in range(KEYS)))).alias("key"))
     # a bucket cannot hold more nodes than its key has, so the few crowded keys tell which buckets to cut
     crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("chunks"))
     mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     cells = F.when(F.col("chunks").isNull(), F.array("key")).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.xxhash64("key", F.least(F.col("mine"), j), F.greatest(F.col("mine"), j)))
     )
-    split = keyed.join(crowded, "key", "left").withColumn("mine", mine).select("node", "fp", "a", "b", F.explode(cells).alias("cell"))
+    split = keyed.join(crowded, "key", "left").withColumn("mine", mine).select("node", "fp", *_PARTS, F.explode(cells).alias("cell"))
     tables = F.array(*(F.xxhash64("cell", F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(covering_masks(radius))))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = split.select(F.explode(tables).alias("bucket"), "node", "fp", "a", "b").repartition(n, "bucket").sortWithinPartitions("bucket")
+    buckets = split.select(F.explode(tables).alias("bucket"), "node", "fp", *_PARTS).repartition(n, "bucket").sortWithinPartitions("bucket")
     links = buckets.mapInArrow(_sketch_links(radius, most_differing(similarity)), "src long, dst long")
     groups = connected_components(links)
     later = groups.where("node <> component").select("node")
-    first = nodes.join(later, "node", "left_anti").select(F.col("node").alias("_row"))
-    return numbered.join(first, "_row", "left_semi").select(*docs.columns)
+    first = nodes.join(later, "node", "left_anti").select(F.col("node").alias(own))
+    return numbered.join(first, own, "left_semi").select(*docs.columns)
