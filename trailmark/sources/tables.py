@@ -156,7 +156,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs, staging = target.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(path + ".writing")
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").csv(staging.toString(), header=True, escape='"', emptyValue="", timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(staging.toString(), header=True, escape='"', emptyValue='""')
     if target.getParent() is not None:
         fs.mkdirs(target.getParent())
     made = staging
