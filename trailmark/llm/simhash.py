@@ -303,13 +303,14 @@ def one_of_each(docs: DataFrame, width: int = 5, radius: int = 4, similarity: fl
     nodes = stored(told.groupBy(*same).agg(F.min("row").alias("node")), "nodes")  # equal texts are one node
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
     keyed = nodes.select("node", "fp", *_PARTS, F.explode(F.array(*(F.xxhash64(F.lit(j), f"k{j}") for j in range(KEYS)))).alias("key"))
-    # a bucket cannot hold more nodes than its key has, so the few crowded keys tell which buckets to cut
-    crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("chunks"))
+    # most keys have one node, which nothing can be linked to by it; a bucket holds no more nodes than its key has, so the
+    # crowded keys tell which buckets to cut
+    met = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("chunks"))
     mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    cells = F.when(F.col("chunks").isNull(), F.array("key")).otherwise(
+    cells = F.when(F.col("chunks") == 1, F.array("key")).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.xxhash64("key", F.least(F.col("mine"), j), F.greatest(F.col("mine"), j)))
     )
-    split = keyed.join(crowded, "key", "left").withColumn("mine", mine).select("node", "fp", *_PARTS, F.explode(cells).alias("cell"))
+    split = keyed.join(met, "key").withColumn("mine", mine).select("node", "fp", *_PARTS, F.explode(cells).alias("cell"))
     tables = F.array(*(F.xxhash64("cell", F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(covering_masks(radius))))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = split.select(F.explode(tables).alias("bucket"), "node", "fp", *_PARTS).repartition(n, "bucket").sortWithinPartitions("bucket")
