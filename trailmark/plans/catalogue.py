@@ -115,7 +115,7 @@ def cluster_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("collectingeventid", "spatial_key", "temporal_key", "reconnected_key", "combined_key", "placed_key", "timed_key")
 
 
-def _expedition(settings: tuple[float, float]):
+def _fixpoint(settings: tuple[float, float]):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _clustered(spark, sf_dir, settings).select("collectingeventid", "cluster_key", STC)
 
@@ -233,8 +233,8 @@ QUERIES = {
 } | {
     "semi_related_objects": _related("collectionobject"),
     "semi_related_events": _related("collectingevent"),
-    "expedition_clusters": _expedition(USUAL),
-    "expedition_clusters_coarse": _expedition(COARSE),
+    "cluster_fixpoint": _fixpoint(USUAL),
+    "cluster_fixpoint_coarse": _fixpoint(COARSE),
     "time_histogram": _histogram(HISTOGRAM_BINS),
     "time_histogram_auto": _histogram("auto"),
 }

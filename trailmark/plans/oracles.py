@@ -170,8 +170,8 @@ ORACLES: dict[str, str] = {
     "cluster_steps": _with(*BASE).rstrip()
     + _refined(*COARSE, 5)
     + "SELECT p0.id AS collectingeventid, p0.block AS spatial_key, p1.block AS temporal_key, p2.block AS reconnected_key, p3.block AS combined_key, p4.block AS placed_key, p5.block AS timed_key FROM p0 JOIN p1 USING (id) JOIN p2 USING (id) JOIN p3 USING (id) JOIN p4 USING (id) JOIN p5 USING (id)",
-    "expedition_clusters": _clusters(USUAL) + "SELECT collectingeventid, cluster_key, spatiotemporal_cluster_id FROM found",
-    "expedition_clusters_coarse": _clusters(COARSE) + "SELECT collectingeventid, cluster_key, spatiotemporal_cluster_id FROM found",
+    "cluster_fixpoint": _clusters(USUAL) + "SELECT collectingeventid, cluster_key, spatiotemporal_cluster_id FROM found",
+    "cluster_fixpoint_coarse": _clusters(COARSE) + "SELECT collectingeventid, cluster_key, spatiotemporal_cluster_id FROM found",
     # clusters of places alone are one piece in space, but not in time
     "connectivity_check": _with(*BASE).rstrip()
     + _refined(*COARSE, 1)
