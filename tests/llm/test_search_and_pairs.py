@@ -84,6 +84,30 @@ def test_one_of_each_keeps_one_copy_and_all_columns(spark):
     assert simhash.one_of_each(docs.limit(0)).count() == 0
 
 
+def shingles(text, width=5):
+    words = text.lower().split()
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def alike(x, y):
+    return len(x & y) / max(1, len(x | y))
+
+
+def test_one_of_each_finds_copies_however_they_were_edited(spark):
+    rng = random.Random(9)
+    made = lambda n: [str(rng.randrange(10**6)) for _ in range(n)]
+    texts = []
+    for k in range(240):
+        words = made(rng.choice([60, 120, 200, 400]))
+        n = len(words)
+        cut = n - int(n * 0.15)
+        edited = [words + made(n // 5 - 2), words[:cut], words[n - cut :], [w if i % 60 != 30 else "x" for i, w in enumerate(words)]][k % 4]
+        texts += [" ".join(words), " ".join(edited)]
+    assert all(alike(shingles(a), shingles(b)) >= 0.8 for a, b in zip(texts[::2], texts[1::2]))
+    docs = spark.createDataFrame(rows_of(enumerate(texts)), DOCS)
+    assert sorted(r["doc_id"] // 2 for r in simhash.one_of_each(docs).collect()) == list(range(240))
+
+
 def slow_decontamination(text, items, width=10):
     cut = lambda t: bytes(c + 32 if 65 <= c <= 90 else c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in (t or "").encode()).split()
     words, hit, ids = cut(text), set(), set()

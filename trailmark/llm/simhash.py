@@ -190,94 +190,81 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, bucket_row
 
 # --- one document of each group of near copies ------------------------------------------------------------------------
 #
-# Copies whose sets of five-word shingles are 0.8 alike differ by 4 to 18 bits of 64 in a SimHash of those shingles, far
-# beyond a radius that can be covered.  The SimHash of single words barely moves under such edits (98 % of such pairs are
-# within 4 bits), but is close for many unrelated texts too.  So the covering tables are built on the word fingerprint,
-# each bucket is further parted by the least shingle hash under one of KEYS permutations, and a link needs, besides the
-# radius, the similarity itself as told by SKETCH one-bit minimum hashes of the five-word shingles.
-
-KEYS, SKETCH = 2, 512
-_PERMUTE = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
-_BINS = np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-_PARTS = [f"s{i}" for i in range(SKETCH // 64)]
-
-
-def most_differing(similarity: float) -> int:
-    """Sketch bits that may differ: what is expected at ``similarity`` and 1.65 standard deviations."""
-    p = (1 - similarity) / 2
-    return int(SKETCH * p + 1.65 * (SKETCH * p * (1 - p)) ** 0.5)
-
-
-def sketch(text: bytes, width: int = 5) -> tuple[int, list[int], list[int]]:
-    """(word fingerprint, KEYS least hashes, SKETCH bits in words of 64) of a text; zeros without words."""
-    h = shingle_hashes(text, width)
+# Two texts are copies if their sets of five-word shingles are ``similarity`` alike (Jaccard), however they came to differ:
+# words replaced, text added or cut off.  Candidates share one of BANDS keys, each made of ROWS minimum hashes of the set:
+# a pair of similarity s misses all of them with probability (1 - s^ROWS)^BANDS, 6e-7 at 0.8.  Every candidate pair that
+# its bucket's links do not yet connect is then compared by the sets themselves.
+
+BANDS, ROWS = 14, 2
+#: Nodes, and bytes of text, of one bucket that are compared together.
+COPY_ROWS, COPY_BYTES = 1024, 8 << 20
+_MIX = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
+
+
+def set_keys(text: bytes, width: int = 5) -> tuple[int, int, list[int]]:
+    """(two halves of a digest of the set of shingles, BANDS keys) of a text; equal sets have equal ones."""
+    h = np.unique(shingle_hashes(text, width))
+    digest = xxhash.xxh3_128_intdigest(h.tobytes(), SEED)
+    halves = digest >> 64, digest & (1 << 64) - 1
     if not len(h):
-        return 0, [0] * KEYS, [0] * (SKETCH // 64)
-    keys = [int((h * m).min()) for m in _PERMUTE[:KEYS]]
-    order = np.sort(h * _PERMUTE[2])
-    bins = (order >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
-    full, least = bins[first], order[first]
-    values = least[np.searchsorted(full, np.arange(SKETCH)) % len(full)]  # an empty bin borrows from the next full one
-    bits = (((values ^ _BINS) * _PERMUTE[0]) >> np.uint64(63)).astype(np.uint8)  # a value gives other bits in other bins
-    return fingerprint(text, 1), keys, np.packbits(bits).view(np.uint64).tolist()
-
-
-def _sketch_links(radius: int, differing: int):
-    """Over rows (bucket, node, fp, sketch words) sorted by bucket: links of a spanning forest of each bucket."""
+        return *halves, [xxhash.xxh64_intdigest(b"", j) for j in range(BANDS)]
+    least = np.array([((h ^ x) * m).min() for x, m in zip(*_MIX)], dtype=np.uint64).reshape(BANDS, ROWS)
+    return *halves, [xxhash.xxh64_intdigest(band.tobytes(), j) for j, band in enumerate(least)]
+
+
+def _copies(nodes: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[list, list]:
+    """Links of a spanning forest of ``nodes`` whose sets are ``similarity`` alike or more."""
+    src, dst = [], []
+    sizes = np.array([len(s) for s in sets])
+    if len(nodes) == 2:
+        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return ([nodes[0]], [nodes[1]]) if both >= similarity * (sizes.sum() - both) else ([], [])
+    owner = np.repeat(np.arange(len(nodes)), sizes)
+    names, of = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(of, kind="stable")
+    holders, ends = owner[order], np.cumsum(np.bincount(of, minlength=len(names)))
+    begins, starts = np.concatenate([[0], ends[:-1]]), np.concatenate([[0], np.cumsum(sizes)])
+    rest = np.ones(len(nodes), bool)
+    for first in range(len(nodes)):
+        todo = [first] if rest[first] else []
+        rest[first] = False
+        while todo and rest.any():
+            at = todo.pop()
+            own = of[starts[at] : starts[at + 1]]
+            met = np.bincount(np.concatenate([holders[begins[i] : ends[i]] for i in own.tolist()]), minlength=len(nodes))
+            new = np.flatnonzero(rest & (met >= similarity * (sizes[at] + sizes - met)))
+            rest[new] = False
+            src += [nodes[at]] * len(new)
+            dst += nodes[new].tolist()
+            todo += new.tolist()
+    return src, dst
+
+
+def _copy_links(width: int, similarity: float):
+    """Over rows (cell, node, text) sorted by cell: links of a spanning forest of each cell."""
     kind = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
-    def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        d = x ^ y
-        return (np.bitwise_count(d[1]) <= radius) & (np.bitwise_count(d[2:]).sum(axis=0, dtype=np.int64) <= differing)
-
-    def forest(rest: np.ndarray) -> tuple[list, list]:
-        src, dst = [], []
-        while rest.shape[1] > 1:
-            todo, rest = [rest[:, :1]], rest[:, 1:]
-            while todo and rest.shape[1]:
-                at = todo.pop()
-                ok = near(rest, at)
-                if ok.any():
-                    new = rest[:, ok]
-                    src.append(np.full(new.shape[1], at[0, 0])), dst.append(new[0])
-                    todo.extend(new[:, i : i + 1] for i in range(new.shape[1]))
-                    rest = rest[:, ~ok]
-        return src, dst
-
-    def links(keys: np.ndarray, rows: np.ndarray) -> pa.RecordBatch | None:
-        cuts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
-        sizes = np.diff(cuts)
-        pairs = cuts[:-1][sizes == 2]
-        a, b = rows[:, pairs], rows[:, pairs + 1]
-        ok = near(a, b)
-        src, dst = [a[0][ok]], [b[0][ok]]
-        for at in np.flatnonzero(sizes > 2).tolist():
-            x, y = forest(rows[:, cuts[at] : cuts[at + 1]])
-            src += x
-            dst += y
-        s, d = np.concatenate(src), np.concatenate(dst)
-        both = np.unique(np.stack([np.minimum(s, d), np.maximum(s, d)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0].view(np.int64)), pa.array(both[1].view(np.int64))], schema=kind) if both.size else None
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, rows = np.empty(0, np.int64), np.empty((2 + len(_PARTS), 0), np.uint64)
+        cell, nodes, sets = None, [], []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            if len(nodes) > 1:
+                src, dst = _copies(np.array(nodes), sets, similarity)
+                if src:
+                    yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], schema=kind)
+
         for batch in batches:
-            keys = np.concatenate([keys, batch.column(0).to_numpy()])
-            rows = np.concatenate([rows, np.stack([batch.column(i).to_numpy().view(np.uint64) for i in range(1, batch.num_columns)])], axis=1)
-            last = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
-            if last:
-                out = links(keys[:last], rows[:, :last])
-                keys, rows = keys[last:], rows[:, last:]
-                if out is not None:
-                    yield out
-        if len(keys) and (out := links(keys, rows)) is not None:
-            yield out
+            for key, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), raw(batch.column(2))):
+                if key != cell:
+                    yield from links()
+                    cell, nodes, sets = key, [], []
+                nodes.append(node), sets.append(np.unique(shingle_hashes(text, width)))
+        yield from links()
 
     return run
 
 
-def one_of_each(docs: DataFrame, width: int = 5, radius: int = 4, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, bucket_rows: int = COPY_ROWS) -> DataFrame:
     """``docs`` without all but one document of each group of near copies.
 
     The first row of a group stays.  Texts without words are copies of one
@@ -293,29 +280,29 @@ def one_of_each(docs: DataFrame, width: int = 5, radius: int = 4, similarity: fl
     rows = numbered.select(own, F.col("text").alias("_text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [sketch(x, width) for x in raw(batch.column(1))]
+        texts = raw(batch.column(1))
+        made = [set_keys(x, width) for x in texts]
         u = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
-        cols = [u([m[0] for m in made]), *(u([m[1][j] for m in made]) for j in range(KEYS)), *(u([m[2][j] for m in made]) for j in range(len(_PARTS)))]
-        return pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["row", *same])
-
-    same = ["fp", *(f"k{j}" for j in range(KEYS)), *_PARTS]
-    told = stored(map_arrow(rows, run, ", ".join(f"{c} long" for c in ["row", *same])), "sketches")
-    nodes = stored(told.groupBy(*same).agg(F.min("row").alias("node")), "nodes")  # equal texts are one node
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
-    keyed = nodes.select("node", "fp", *_PARTS, F.explode(F.array(*(F.xxhash64(F.lit(j), f"k{j}") for j in range(KEYS)))).alias("key"))
-    # most keys have one node, which nothing can be linked to by it; a bucket holds no more nodes than its key has, so the
-    # crowded keys tell which buckets to cut
-    met = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("chunks"))
+        keys = pa.ListArray.from_arrays(pa.array(range(0, BANDS * len(made) + 1, BANDS), pa.int32()), u([k for m in made for k in m[2]]))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in texts], pa.int64()), u([m[0] for m in made]), u([m[1] for m in made]), keys], names=["row", "bytes", "d0", "d1", "keys"])
+
+    told = map_arrow(rows, run, "row long, bytes long, d0 long, d1 long, keys array<long>")
+    nodes = stored(told.groupBy("d0", "d1").agg(F.min("row").alias("node"), F.max("bytes").alias("bytes"), F.min("keys").alias("keys")), "nodes")  # equal sets are one node
+    keyed = nodes.select("node", "bytes", F.explode("keys").alias("key"))
+    # most keys have one node, which nothing can be linked to by it; of keys that have the same nodes one is enough
+    met = keyed.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("x0"), F.bit_xor(F.xxhash64(F.lit(SEED), "node")).alias("x1")
+    ).where("n > 1")
+    chunks = F.greatest(F.ceil(F.col("n") / bucket_rows), F.least("n", F.ceil(F.col("bytes") / COPY_BYTES))).cast("int")
+    met = met.groupBy("n", "x0", "x1").agg(F.min("key").alias("key"), F.max("bytes").alias("bytes")).select("key", chunks.alias("chunks"))
     mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     cells = F.when(F.col("chunks") == 1, F.array("key")).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.xxhash64("key", F.least(F.col("mine"), j), F.greatest(F.col("mine"), j)))
     )
-    split = keyed.join(met, "key").withColumn("mine", mine).select("node", "fp", *_PARTS, F.explode(cells).alias("cell"))
-    tables = F.array(*(F.xxhash64("cell", F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(covering_masks(radius))))
+    split = keyed.select("node", "key").join(met, "key").withColumn("mine", mine).select("node", F.explode(cells).alias("cell"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = split.select(F.explode(tables).alias("bucket"), "node", "fp", *_PARTS).repartition(n, "bucket").sortWithinPartitions("bucket")
-    links = buckets.mapInArrow(_sketch_links(radius, most_differing(similarity)), "src long, dst long")
-    groups = connected_components(links)
+    buckets = split.join(rows.withColumnRenamed(own, "node"), "node").select("cell", "node", "_text").repartition(n, "cell").sortWithinPartitions("cell")
+    groups = connected_components(buckets.mapInArrow(_copy_links(width, similarity), "src long, dst long"))
     later = groups.where("node <> component").select("node")
     first = nodes.join(later, "node", "left_anti").select(F.col("node").alias(own))
     return numbered.join(first, own, "left_semi").select(*docs.columns)
