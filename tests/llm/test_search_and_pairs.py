@@ -108,6 +108,19 @@ def test_one_of_each_finds_copies_however_they_were_edited(spark):
     assert sorted(r["doc_id"] // 2 for r in simhash.one_of_each(docs).collect()) == list(range(240))
 
 
+def test_one_of_each_links_by_the_sets_themselves(spark):
+    rng = random.Random(13)
+    texts, close = [], 0
+    for k in range(120):
+        words = [str(rng.randrange(10**6)) for _ in range(90)]
+        other = [w if i not in (20, 45, 70)[: 1 + k % 3] else "x" for i, w in enumerate(words)]
+        texts += [" ".join(words), " ".join(other)]
+        close += alike(shingles(texts[-2]), shingles(texts[-1])) >= 0.8
+    assert 0 < close < 120
+    kept = {r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(rows_of(enumerate(texts)), DOCS)).collect()}
+    assert all(len(kept & {2 * k, 2 * k + 1}) == (1 if alike(shingles(texts[2 * k]), shingles(texts[2 * k + 1])) >= 0.8 else 2) for k in range(120))
+
+
 def slow_decontamination(text, items, width=10):
     cut = lambda t: bytes(c + 32 if 65 <= c <= 90 else c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in (t or "").encode()).split()
     words, hit, ids = cut(text), set(), set()
