@@ -55,6 +55,16 @@ def test_language_model(spark, corpus):
     assert lm.score(docs.limit(0)).count() == 0
 
 
+def test_every_template_learns_from_all_texts(spark):
+    text = prose(random.Random(3), "en", 300)
+    docs = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string")
+    model, n, _ = lm.train(docs, lm.word_counts(docs))
+    assert n == 40 * 301 and all(abs(model.weights[low:high]).max() > 0 for low, high in lm.TEMPLATES)
+    # each template has the counts of all 40 texts, and each pair of classes is counted once
+    came = [lm._gather(docs, model, t, paired=t == 0) for t in range(len(lm.TEMPLATES))]
+    assert all(c.sum() == n and abs(e.sum() - n) < 1 for c, e, _ in came) and came[0][2].sum() > 0 and not came[1][2].any()
+
+
 def test_quality(spark, corpus):
     rows, docs, labels, truth = corpus
     got = quality.classify(docs, quality.train(docs, labels), docs.columns)

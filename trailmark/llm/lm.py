@@ -5,13 +5,11 @@ P(token | context) = P(class | context) * P(token | class, context).
 The first factor is a log-linear model over hashed features of the context: the
 previous token (bigram), the pair before (trigram), and the tokens two and
 three back (skips), each a row of ``CLASSES`` weights.  It is trained by
-distributed gradient updates, one template of features a round: in round r every
-task walks the training texts of slice r once and adds up, for each feature and
-class, how often the class came and how often the model expected it (the
+distributed gradient updates, one template of features a round: in every round the
+tasks walk all training texts once and add up, for each feature and class, how often the class came and how often the model expected it (the
 gradient is their difference); the sums meet in blocks in a shuffle, and the
 weights move along the gradient with each coordinate scaled by what was expected
-(iterative scaling, whose step is the logarithm of the two sums' ratio).  The
-slices together are all training texts.
+(iterative scaling, whose step is the logarithm of the two sums' ratio).
 
 The second factor is a softmax over a frequent word's class with the class of
 the previous token as feature; for rare words, whose classes go by hashed
@@ -123,8 +121,8 @@ class Model:
         pair = (back[0] * 40_503 + back[1] * 2_654_435_761) % PAIRS
         return np.stack([back[0], BUCKETS + back[1], 2 * BUCKETS + back[2], 3 * BUCKETS + pair], axis=1)
 
-    def class_logs(self, rows: np.ndarray) -> np.ndarray:
-        """Natural log of P(class | features) for each row of features."""
+    def _centred(self, rows: np.ndarray) -> np.ndarray:
+        """Natural log of what P(class | features) is proportional to, at most 0, for each row of features."""
         w = self.weights
         z = w[rows[:, 0]]
         for j in range(1, len(TEMPLATES)):
@@ -132,6 +130,17 @@ class Model:
                 z += w[rows[:, j]]
         z += self.bias
         z -= z.max(axis=1, keepdims=True)
+        return z
+
+    def class_shares(self, rows: np.ndarray) -> np.ndarray:
+        """P(class | features) for each row of features."""
+        p = np.exp(self._centred(rows))
+        p /= p.sum(axis=1, keepdims=True)
+        return p
+
+    def class_logs(self, rows: np.ndarray) -> np.ndarray:
+        """Natural log of P(class | features) for each row of features."""
+        z = self._centred(rows)
         z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
         return z
 
@@ -207,7 +216,7 @@ def start(vocabulary: DataFrame) -> tuple[Model, int, int]:
     return Model({w: i for i, w in enumerate(words)}, np.log10(np.append(counts, 0) + 1), context, klass, within, room, bias, np.zeros((FEATURES, CLASSES), np.float32), [False] * len(TEMPLATES)), int(n), int(v)
 
 
-def _sums(model: Model, template: int, texts: list[list[bytes]], came: np.ndarray, expected: np.ndarray, pairs: np.ndarray) -> None:
+def _sums(model: Model, template: int, texts: list[list[bytes]], came: np.ndarray, expected: np.ndarray, pairs: np.ndarray | None) -> None:
     """Add what came and what was expected, by feature of the template and class; and (class before, frequent word) pairs."""
     sizes = np.array([len(t) for t in texts])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
@@ -216,14 +225,15 @@ def _sums(model: Model, template: int, texts: list[list[bytes]], came: np.ndarra
     before = np.concatenate([[0], klass[:-1]])
     before[starts] = model.klass[model.words[END]] if END in model.words else 0
     common = klass < HEAD_CLASSES
-    pairs += np.bincount(before[common] * HEAD + ids[common], minlength=pairs.size)
-    low, high = TEMPLATES[template]
-    own = rows[:, template] - low
+    if pairs is not None:
+        pairs += np.bincount(before[common] * HEAD + ids[common], minlength=pairs.size)
+    own = rows[:, template] - TEMPLATES[template][0]
     came += np.bincount(own * CLASSES + klass, minlength=came.size)
     for a in range(0, len(ids), CHUNK):
-        p = np.ascontiguousarray(np.exp(model.class_logs(rows[a : a + CHUNK])).T, dtype=np.float64)
-        for k in range(CLASSES):
-            expected[k] += np.bincount(own[a : a + CHUNK], p[k], high - low)
+        order = a + np.argsort(own[a : a + CHUNK], kind="stable")
+        same = own[order]
+        first = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
+        expected[same[first]] += np.add.reduceat(model.class_shares(rows[order]), first, axis=0, dtype=np.float64)
 
 
 def _summed(blocks: DataFrame) -> DataFrame:
@@ -248,17 +258,17 @@ def _summed(blocks: DataFrame) -> DataFrame:
     return blocks.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "key int, block binary")
 
 
-def _gather(docs: DataFrame, model: Model, template: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums over all texts of ``docs`` of (came, expected, pairs); their size is fixed."""
+def _gather(docs: DataFrame, model: Model, template: int, paired: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums over all texts of ``docs`` of (came, expected, pairs if ``paired``); their size is fixed."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     width, n = BLOCK * CLASSES, TEMPLATES[template][1] - TEMPLATES[template][0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        came, expected, pairs = np.zeros(n * CLASSES), np.zeros((CLASSES, n)), np.zeros(CLASSES * HEAD)
+        came, expected, pairs = np.zeros(n * CLASSES), np.zeros((n, CLASSES)), np.zeros(CLASSES * HEAD)
         for batch in batches:
             if batch.num_rows:
-                _sums(sent.value, template, [words_of(x) for x in raw(batch.column(0))], came, expected, pairs)
-        flat = np.concatenate([came, expected.T.ravel(), pairs]).astype(np.float32)
+                _sums(sent.value, template, [words_of(x) for x in raw(batch.column(0))], came, expected, pairs if paired else None)
+        flat = np.concatenate([came, expected.ravel(), pairs]).astype(np.float32)
         for k in range(0, flat.size, width):
             part = flat[k : k + width]
             if part.any():
@@ -274,15 +284,14 @@ def _gather(docs: DataFrame, model: Model, template: int) -> tuple[np.ndarray, n
 
 
 def train(docs: DataFrame, vocabulary: DataFrame, rounds: int = ROUNDS) -> tuple[Model, int, int]:
-    """Fit on all of ``docs`` (text); round r takes the texts whose hash is r modulo ``rounds``."""
+    """Fit on ``docs`` (text); every round walks all of them, for the next template of features."""
     small_batches(docs.sparkSession)
     model, n, v = start(vocabulary)
     head = min(HEAD - 1, len(model.words))
     pairs = np.zeros((CLASSES, HEAD))
     for r in range(rounds if n else 0):
-        part = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r) if rounds > 1 else docs
         low, high = TEMPLATES[r % len(TEMPLATES)]
-        came, expected, seen = _gather(part, model, r % len(TEMPLATES))
+        came, expected, seen = _gather(docs, model, r % len(TEMPLATES), paired=r == 0)
         pairs += seen
         prior = SMOOTH * np.exp(model.bias)
         step = np.log((came + prior) / (expected + prior))
