@@ -1,14 +1,12 @@
 """The trained operators: exact parts against brute force, the rest by held-out accuracy; and the whole pipeline."""
 
-import math
 import random
 import zlib
-from collections import Counter
 
 import pytest
 
 import corpus_pipeline
-from trailmark.llm import langid, lm, quality
+from trailmark.llm import langid, quality
 
 ALPHABETS = {"en": "the and ing of to er on an".split(), "de": "der und sch ein ung ich en pf".split(), "es": "el que ción ar os de ña ll".split(), "fr": "le eau ou é ai tion que x".split()}
 HEAD = "doc_id long, text string, lang string, source string, n_chars long"
@@ -40,31 +38,6 @@ def fold(doc_id, n):
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % n
 
 
-def test_language_model(spark, corpus):
-    rows, docs, _, _ = corpus
-    got = lm.score(docs).collect()
-    words = lambda t: [*(t or "").encode().lower().split(), b"\n"]
-    counts = Counter(w for i, t, *_ in rows if fold(i, 7) != 2 for w in words(t))
-    n, v = sum(counts.values()), len(counts)
-    want = sorted((i is None, i or 0, len(words(t)), sum(counts[w] > 0 for w in words(t)), round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words(t)), 5)) for i, t, *_ in rows)
-    told = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"], round(r["base_score"], 5)) for r in got)
-    assert [x[:4] for x in told] == [x[:4] for x in want] and all(abs(a[4] - b[4]) < 1e-3 for a, b in zip(told, want))
-    assert all(r["train_tokens"] == n and r["held_out"] == (fold(r["doc_id"], 7) == 2) for r in got)
-    held = [r for r in got if r["held_out"]]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
-    assert lm.score(docs.limit(0)).count() == 0
-
-
-def test_every_template_learns_from_all_texts(spark):
-    text = prose(random.Random(3), "en", 300)
-    docs = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string")
-    model, n, _ = lm.train(docs, lm.word_counts(docs))
-    assert n == 40 * 301 and all(abs(model.weights[low:high]).max() > 0 for low, high in lm.TEMPLATES)
-    # each template has the counts of all 40 texts, and each pair of classes is counted once
-    came = [lm._gather(docs, model, t, paired=t == 0) for t in range(len(lm.TEMPLATES))]
-    assert all(c.sum() == n and abs(e.sum() - n) < 1 for c, e, _ in came) and came[0][2].sum() > 0 and not came[1][2].any()
-
-
 def test_quality(spark, corpus):
     rows, docs, labels, truth = corpus
     got = quality.classify(docs, quality.train(docs, labels), docs.columns)

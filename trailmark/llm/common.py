@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trailmark.plans.shared import ship
 
 #: Arrow batches are cut by bytes as well as by rows, so that very long texts stay within a worker's memory.
-ARROW_ROWS, ARROW_BYTES = "2000", str(16 << 20)
+ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of at most ``ARROW_ROWS`` rows and, but for single rows, about ``ARROW_BYTES``."""
+    if batch.num_rows < 2 or batch.num_rows <= ARROW_ROWS and batch.nbytes <= ARROW_BYTES:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from cut(batch.slice(0, half))
+        yield from cut(batch.slice(half))
+
+
+def arrow_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``run`` over the Arrow batches of each partition, cut small; the session's own settings stay as they are."""
+    ship(df.sparkSession)
+    return df.mapInArrow(lambda batches: run(x for batch in batches for x in cut(batch)), schema)
 
 
 def remainder(key: str, n: int) -> Column:
@@ -36,12 +46,23 @@ def raw(column: pa.Array) -> list[bytes]:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``fn`` over every Arrow batch of ``df``; batches are small by rows and bytes."""
-    small_batches(df.sparkSession)
+    """``fn`` over every small Arrow batch of ``df``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows and (out := fn(batch)) is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return arrow_batches(df, run, schema)
+
+
+def beside(keep: list[str] | tuple[str, ...], new: tuple[str, ...]) -> dict[str, str]:
+    """Names under which the columns of ``keep`` stay apart from ``new`` ones: itself, or one with underscores added."""
+    taken, out = {*map(str.lower, keep), *map(str.lower, new)}, {}
+    for c in keep:
+        name = c
+        while c.lower() in map(str.lower, new) and name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out[c] = name
+    return out

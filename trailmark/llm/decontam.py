@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import raw, small_batches
+from trailmark.llm.common import arrow_batches, raw
 
 WIDTH = 10
 #: Text of one broadcast block; its index takes about 50 times as much memory in a worker.
@@ -93,7 +93,7 @@ def _document_frequency(docs: DataFrame, vocabularies: list) -> dict[bytes, int]
         if total:
             yield pa.RecordBatch.from_pydict({"word": list(total), "n": list(total.values())}, schema=pa.schema([("word", pa.binary()), ("n", pa.int64())]))
 
-    rows = docs.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = arrow_batches(docs, count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {bytes(r["word"]): r["n"] for r in rows.toLocalIterator()}
 
 
@@ -107,7 +107,6 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     of either table are ignored; a column of ``keep`` that is named like a new one
     is replaced by it.
     """
-    small_batches(spark)
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -150,4 +149,4 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
             )
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept) + FOUND
-    return rows.mapInArrow(mark, schema)
+    return arrow_batches(rows, mark, schema)

@@ -2,56 +2,69 @@
 
 P(token | context) = P(class | context) * P(token | class, context).
 
-The first factor is a log-linear model over hashed features of the context: the
-previous token (bigram), the pair before (trigram), and the tokens two and
-three back (skips), each a row of ``CLASSES`` weights.  It is trained by
-distributed gradient updates, one template of features a round: in every round the
-tasks walk all training texts once and add up, for each feature and class, how often the class came and how often the model expected it (the
-gradient is their difference); the sums meet in blocks in a shuffle, and the
-weights move along the gradient with each coordinate scaled by what was expected
-(iterative scaling, whose step is the logarithm of the two sums' ratio).
-
-The second factor is a softmax over a frequent word's class with the class of
-the previous token as feature; for rare words, whose classes go by hashed
-endings, it is their smoothed share of the class.  With one unseen type in every
-class of rare words the model sums to one.
-
-Counts are exact and cover the whole training corpus: tasks count words into
-bounded dictionaries, Spark sums them.  Only the some ``DICTIONARY`` most frequent
-words, of at most 64 bytes each, and the weights, of fixed size, are ever sent
-to all tasks; every other word meets its count in a shuffled join.
+Both factors are log-linear in hashed features of the context: the token before
+(bigram), the pair before (trigram), and the tokens two and three back (skips).
+The first factor has a row of ``CLASSES`` weights for each bucket of each
+template; the second, for the ``HEAD`` most frequent words, a row of ``SLOTS``
+weights for each class and bucket.  Words of a class are alike in what stands
+next to them.  Rarer words lie in classes by hashed endings, where a word has its
+smoothed share of the class: the vocabulary has no bound, weights have.  With
+one unseen type in every class of rare words the model sums to one.
+
+Training is by distributed gradient updates.  In every round all tasks walk all
+training texts and add up, for each weight, how often its outcome came and how
+often the model expected it (the gradient is their difference); the sums meet
+in a shuffle, block by block, and the weights of all templates move along the
+gradient with each coordinate scaled by what was expected (iterative scaling).
+At the zero weights of the first round what is expected is a product of two
+counts, so that round counts only what came.
+
+Texts are tokenised twice: once to count words, and once into stored word
+numbers, which every later step reads.  Counts are exact and cover the whole
+training corpus: tasks count words into bounded dictionaries, Spark sums them.
+Only the some ``DICTIONARY`` most frequent words and the weights, of fixed size,
+are sent to all tasks; every other word meets its count in a shuffled join.
+Words of more than ``LONG`` bytes are told by a 128-bit digest throughout.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import map_arrow, raw, remainder, small_batches
+from trailmark.llm.common import arrow_batches, raw, remainder
 from trailmark.plans.shared import stored
 
-DICTIONARY, LONGEST = 65_536, 64
-#: Words with a class of their own words, and the classes.
-HEAD, HEAD_CLASSES, TAIL_CLASSES = 2048, 48, 16
-CLASSES = HEAD_CLASSES + TAIL_CLASSES
-#: Buckets of a single token, and of a pair.
+DICTIONARY, LONG = 1 << 18, 64
+#: Classes of frequent words and words of each, classes of rare words.
+HEAD_CLASSES, SLOTS, TAIL_CLASSES = 48, 64, 16
+HEAD, CLASSES = HEAD_CLASSES * SLOTS, HEAD_CLASSES + TAIL_CLASSES  # CLASSES is SLOTS, so that both factors use the same memory
+#: Buckets of a single token and of a pair, for the first factor, and for each class of the second.
 BUCKETS, PAIRS = 4096, 8192
-FEATURES = 3 * BUCKETS + PAIRS
-#: Rows of the weights that each template of features has: previous token, two back, three back, previous pair.
-TEMPLATES = ((0, BUCKETS), (BUCKETS, 2 * BUCKETS), (2 * BUCKETS, 3 * BUCKETS), (3 * BUCKETS, FEATURES))
-ROUNDS, SMOOTH, RATE = 4, 200.0, 0.85
-#: Tokens scored at once, words counted before they are handed on, features of one summed block.
-CHUNK, FLUSH, BLOCK = 4096, 200_000, 256
+NEAR, NEAR_PAIRS = 256, 512
+#: First row of each template, and the rows of all, in the weights of either factor.
+FIRST = (0, BUCKETS, 2 * BUCKETS, 3 * BUCKETS, 3 * BUCKETS + PAIRS)
+SECOND = (0, NEAR, 2 * NEAR, 3 * NEAR, 3 * NEAR + NEAR_PAIRS)
+CELLS = (FIRST[-1] * CLASSES, HEAD_CLASSES * SECOND[-1] * SLOTS)
+#: Rounds that walk the texts with a softmax, step of the first round by template, step of later rounds, prior counts.
+ROUNDS, MIX, RATE, SMOOTH = 1, (0.6, 0.35, 0.25, 0.4), 0.45, (100.0, 100.0)
+#: Tokens scored at once, words and bytes of text counted before they are handed on, numbers of one summed block.
+CHUNK, FLUSH, FLUSH_BYTES, BLOCK = 2048, 200_000, 64 << 20, 1 << 14
+#: Neighbours that tell classes apart: the most frequent words, and any other.
+SIGNS = 64
 END = b"\n"  # no word holds it
 
+
 def words_of(text: bytes) -> list[bytes]:
     """Words with A-Z lower-cased, then the end token."""
     words = text.lower().split()
@@ -59,119 +72,35 @@ def words_of(text: bytes) -> list[bytes]:
     return words
 
 
-def tail_class(word: bytes) -> int:
-    h = xxhash.xxh64_intdigest(word[-2:], 42)
+def key_of(word: bytes) -> bytes:
+    """The word, or a digest that no word can be equal to."""
+    return word if len(word) <= LONG else END + xxhash.xxh3_128_digest(word)
+
+
+def tail_class(key: bytes) -> int:
+    h = xxhash.xxh64_intdigest(key[-2:], 42)
     return (h - (1 << 64) if h >> 63 else h) % TAIL_CLASSES
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word binary, c long): how often each token occurs in ``text``."""
-    small_batches(docs.sparkSession)
+    """(word binary, c long): how often each token occurs in ``text``, long words by their digest."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, found = pa.schema([("word", pa.binary()), ("n", pa.int64())]), Counter()
-        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], schema=kind)
+        found, size = Counter(), 0
+        kind = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(map(key_of, found), pa.binary()), pa.array(list(found.values()), pa.int64())], schema=kind)
         for batch in batches:
             for text in raw(batch.column(0)):
                 found.update(words_of(text))
-                if len(found) > FLUSH:
+                size += len(text)
+                if len(found) > FLUSH or size > FLUSH_BYTES:
                     yield out()
                     found.clear()
+                    size = 0
         if found:
             yield out()
 
-    return docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
-
-
-@dataclass
-class Model:
-    """Everything a task needs; its size does not depend on the corpus."""
-
-    words: dict[bytes, int]  # the dictionary: word -> number
-    log_count: np.ndarray  # log10(count + 1) by number
-    context: np.ndarray  # bucket by number
-    klass: np.ndarray  # class by number
-    within: np.ndarray  # (class before, number) -> log10 P(word | class, class before), frequent words
-    tail_room: np.ndarray  # log10 of count and types of each class of rare words
-    bias: np.ndarray
-    weights: np.ndarray  # (FEATURES, CLASSES)
-    trained: list[bool]  # by template; weights of the others are zero
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(number or -1, context bucket, class) of each token."""
-        get = self.words.get
-        ids = np.array([get(w, -1) for w in words], np.int64)
-        context, klass = self.context[ids], self.klass[ids]
-        for i in np.flatnonzero(ids < 0).tolist():
-            context[i] = HEAD + zlib.crc32(words[i]) % (BUCKETS - HEAD)
-            klass[i] = HEAD_CLASSES + tail_class(words[i])
-        return ids, context, klass
-
-    @staticmethod
-    def features(context: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """(tokens, 4) feature rows; what lies before the start of a text is the end token's bucket 0."""
-        n = len(context)
-        back = []
-        place = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
-        for k in (1, 2, 3):
-            x = np.zeros(n, np.int64)
-            x[k:] = context[:-k] if k < n else 0
-            x[place < k] = 0
-            back.append(x)
-        pair = (back[0] * 40_503 + back[1] * 2_654_435_761) % PAIRS
-        return np.stack([back[0], BUCKETS + back[1], 2 * BUCKETS + back[2], 3 * BUCKETS + pair], axis=1)
-
-    def _centred(self, rows: np.ndarray) -> np.ndarray:
-        """Natural log of what P(class | features) is proportional to, at most 0, for each row of features."""
-        w = self.weights
-        z = w[rows[:, 0]]
-        for j in range(1, len(TEMPLATES)):
-            if self.trained[j]:
-                z += w[rows[:, j]]
-        z += self.bias
-        z -= z.max(axis=1, keepdims=True)
-        return z
-
-    def class_shares(self, rows: np.ndarray) -> np.ndarray:
-        """P(class | features) for each row of features."""
-        p = np.exp(self._centred(rows))
-        p /= p.sum(axis=1, keepdims=True)
-        return p
-
-    def class_logs(self, rows: np.ndarray) -> np.ndarray:
-        """Natural log of P(class | features) for each row of features."""
-        z = self._centred(rows)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return z
-
-    def score(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[Counter]]:
-        """For each tokenised text: log10 P but for the counts of words outside the dictionary, sum of log10(c+1) and
-        number of the dictionary's tokens, and the words outside."""
-        sizes = np.array([len(t) for t in texts])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        ids, context, klass = self.encode([w for t in texts for w in t])
-        rows = self.features(context, starts)
-        before = np.concatenate([[0], klass[:-1]])
-        before[starts] = self.klass[self.words[END]] if END in self.words else 0
-        logs = np.empty(len(ids))
-        for a in range(0, len(ids), CHUNK):
-            part = self.class_logs(rows[a : a + CHUNK])
-            logs[a : a + CHUNK] = part[np.arange(len(part)), klass[a : a + CHUNK]] / np.log(10)
-        common = klass < HEAD_CLASSES
-        logs[common] += self.within[before[common], ids[common]]
-        logs[~common] -= self.tail_room[klass[~common] - HEAD_CLASSES]
-        known = ids >= 0
-        counts = np.where(known, self.log_count[ids], 0)
-        logs[~common] += counts[~common]
-        total = lambda x: np.add.reduceat(x, starts)
-        outside = [Counter(t[i] for i in np.flatnonzero(~known[s : s + n]).tolist()) if not known[s : s + n].all() else Counter() for t, s, n in zip(texts, starts, sizes)]
-        return total(logs), total(counts), total(known.astype(np.int64)), outside
-
-
-def _classes(words: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """Classes of the frequent words: runs of falling frequency with about equal mass."""
-    mass = np.cumsum(counts) / max(counts.sum(), 1)
-    return np.minimum((mass - counts / max(counts.sum(), 1) / 2) * HEAD_CLASSES, HEAD_CLASSES - 1).astype(np.int64)
+    return arrow_batches(docs.select("text"), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 def _most_frequent(vocabulary: DataFrame) -> list[tuple[bytes, int]]:
@@ -191,163 +120,313 @@ def _most_frequent(vocabulary: DataFrame) -> list[tuple[bytes, int]]:
     return sorted(found, key=lambda x: (-x[1], x[0]))
 
 
-def start(vocabulary: DataFrame) -> tuple[Model, int, int]:
-    """A model of exact unigram counts, and N and V."""
-    n, v = (x or 0 for x in vocabulary.agg(F.sum("c"), F.count("*")).first())
-    top = _most_frequent(vocabulary.where(F.octet_length("word") <= LONGEST))
-    words, counts = [w for w, _ in top], np.array([c for _, c in top], np.float64)
-    head = min(HEAD - 1, len(words))
-    klass = np.array([tail_class(w) + HEAD_CLASSES for w in words] + [0], np.int64)
-    klass[:head] = _classes(words[:head], counts[:head])
-    context = np.array([HEAD + zlib.crc32(w) % (BUCKETS - HEAD) for w in words] + [0], np.int64)
-    context[:head] = np.arange(1, head + 1)
-    mass, types = np.zeros(CLASSES), np.zeros(CLASSES)
-    ending = F.pmod(F.xxhash64(F.expr("substring(word, -2, 2)")), F.lit(TAIL_CLASSES)).cast("int")  # as tail_class()
-    for r in vocabulary.groupBy(ending.alias("k")).agg(F.sum("c").alias("m"), F.count("*").alias("t")).collect():
-        mass[HEAD_CLASSES + r["k"]], types[HEAD_CLASSES + r["k"]] = r["m"], r["t"]
-    for w, c in top[:head]:  # those have classes of their own
-        mass[HEAD_CLASSES + tail_class(w)] -= c
-        types[HEAD_CLASSES + tail_class(w)] -= 1
-    np.add.at(mass, klass[:head], counts[:head])
-    bias = np.log((mass + 1) / (mass + 1).sum()).astype(np.float32)
-    within = np.zeros((CLASSES, len(words) + 1), np.float32)
-    within[:, :head] = np.log10(counts[:head] / mass[klass[:head]]) if head else 0
-    room = np.log10(mass[HEAD_CLASSES:] + types[HEAD_CLASSES:] + 1)
-    return Model({w: i for i, w in enumerate(words)}, np.log10(np.append(counts, 0) + 1), context, klass, within, room, bias, np.zeros((FEATURES, CLASSES), np.float32), [False] * len(TEMPLATES)), int(n), int(v)
-
-
-def _sums(model: Model, template: int, texts: list[list[bytes]], came: np.ndarray, expected: np.ndarray, pairs: np.ndarray | None) -> None:
-    """Add what came and what was expected, by feature of the template and class; and (class before, frequent word) pairs."""
-    sizes = np.array([len(t) for t in texts])
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-    ids, context, klass = model.encode([w for t in texts for w in t])
-    rows = model.features(context, starts)
-    before = np.concatenate([[0], klass[:-1]])
-    before[starts] = model.klass[model.words[END]] if END in model.words else 0
-    common = klass < HEAD_CLASSES
-    if pairs is not None:
-        pairs += np.bincount(before[common] * HEAD + ids[common], minlength=pairs.size)
-    own = rows[:, template] - TEMPLATES[template][0]
-    came += np.bincount(own * CLASSES + klass, minlength=came.size)
-    for a in range(0, len(ids), CHUNK):
-        order = a + np.argsort(own[a : a + CHUNK], kind="stable")
-        same = own[order]
-        first = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
-        expected[same[first]] += np.add.reduceat(model.class_shares(rows[order]), first, axis=0, dtype=np.float64)
-
-
-def _summed(blocks: DataFrame) -> DataFrame:
-    """Sum of the double arrays of equal ``key``, streamed: one block is held at a time."""
+def encode(text: bytes, words: dict[bytes, int]) -> tuple[np.ndarray, dict[bytes, int]]:
+    """Each token's number in the dictionary, or a negative code of its hash and tail class; and the tokens outside."""
+    tokens = words_of(text)
+    codes = np.fromiter(map(words.get, tokens, repeat(-1)), np.int32, len(tokens))
+    outside: dict[bytes, int] = {}
+    for i in np.flatnonzero(codes < 0).tolist():
+        key = key_of(tokens[i])
+        n = words.get(key, -1) if key is not tokens[i] else -1
+        if n < 0:
+            n = -1 - ((zlib.crc32(key) >> 5) * TAIL_CLASSES + tail_class(key))
+            outside[key] = outside.get(key, 0) + 1
+        codes[i] = n
+    return codes, outside
+
+
+def encoded(rows: DataFrame, words: dict[bytes, int], log_count: np.ndarray) -> DataFrame:
+    """Rows (doc_id, held_out, text) as word numbers, with what the dictionary alone tells, and the words outside it."""
+    sent = rows.sparkSession.sparkContext.broadcast((words, log_count))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total = None, None
-        out = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["key", "block"])
+        known, logs = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            made = [encode(x, known) for x in raw(batch.column(2))]
+            inside = [c[c >= 0] for c, _ in made]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), pa.array([len(c) for c, _ in made], pa.int64()), pa.array([len(c) for c in inside], pa.int64()),
+                    pa.array([float(logs[c].sum()) for c in inside], pa.float64()), pa.array([c.tobytes() for c, _ in made], pa.binary()),
+                    pa.array([list(o) for _, o in made], pa.list_(pa.binary())), pa.array([list(o.values()) for _, o in made], pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "held_out", "n_tokens", "known", "counts", "codes", "words", "times"],
+            )
+
+    kind = "doc_id long, held_out boolean, n_tokens long, known long, counts double, codes binary, words array<binary>, times array<long>"
+    made = arrow_batches(rows.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")), run, kind)
+    return stored(made.withColumn("row", F.monotonically_increasing_id()), "encoded")
+
+
+def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All codes of a batch in one array, and where each text starts; every text has a token."""
+    parts = [np.frombuffer(x, np.int32) for x in column.to_pylist()]
+    sizes = np.array([len(x) for x in parts])
+    return np.concatenate(parts).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+
+
+def summed(codes: DataFrame, add: Callable[[np.ndarray, np.ndarray, np.ndarray], None], size: int) -> np.ndarray:
+    """Sum over all texts of what ``add`` puts into an array of ``size``; each task sends only blocks with numbers in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, pack = np.zeros(size), zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            if batch.num_rows:
+                add(flat, *_joined(batch.column(0)))
+        flat = (flat.astype(np.float32).view(np.uint32) + np.uint32(1 << 6)) & np.uint32(0xFFFFFF80)  # 17 bits are enough, and shrink
+        for k in range(0, size, BLOCK):
+            part = flat[k : k + BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([pack.compress(part.tobytes())], pa.binary())], names=["key", "block"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, x, unpack = None, None, zstandard.ZstdDecompressor()
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["key", "block"])
         for batch in batches:
             for key, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(zlib.decompress(block), np.float32).astype(np.float64)
                 if key != at:
                     if at is not None:
                         yield out()
-                    at, total = key, x
-                else:
-                    total = total + x
+                    at, x = key, np.zeros(min(BLOCK, size - key * BLOCK))
+                x += np.frombuffer(unpack.decompress(block), np.float32)
         if at is not None:
             yield out()
 
-    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return blocks.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "key int, block binary")
+    n = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = arrow_batches(codes.select("codes"), run, "key int, block binary").repartition(n, "key").sortWithinPartitions("key")
+    flat = np.zeros(size)
+    for r in arrow_batches(blocks, total, "key int, block binary").toLocalIterator():
+        x = np.frombuffer(r["block"], np.float64)
+        flat[r["key"] * BLOCK : r["key"] * BLOCK + len(x)] = x
+    return flat
 
 
-def _gather(docs: DataFrame, model: Model, template: int, paired: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums over all texts of ``docs`` of (came, expected, pairs if ``paired``); their size is fixed."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    width, n = BLOCK * CLASSES, TEMPLATES[template][1] - TEMPLATES[template][0]
+def _back(x: np.ndarray, starts: np.ndarray, end: int) -> list[np.ndarray]:
+    """``x`` of the tokens one, two and three back; ``end`` before the start of a text."""
+    n, out = len(x), []
+    place = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
+    for k in (1, 2, 3):
+        y = np.full(n, end, x.dtype)
+        y[k:] = x[:-k] if k < n else end
+        y[place < k] = end
+        out.append(y)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        came, expected, pairs = np.zeros(n * CLASSES), np.zeros((n, CLASSES)), np.zeros(CLASSES * HEAD)
-        for batch in batches:
-            if batch.num_rows:
-                _sums(sent.value, template, [words_of(x) for x in raw(batch.column(0))], came, expected, pairs if paired else None)
-        flat = np.concatenate([came, expected.ravel(), pairs]).astype(np.float32)
-        for k in range(0, flat.size, width):
-            part = flat[k : k + width]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // width], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["key", "block"])
 
-    flat = np.zeros(2 * n * CLASSES + CLASSES * HEAD)
-    for r in _summed(docs.select("text").mapInArrow(run, "key int, block binary")).toLocalIterator():
-        x = np.frombuffer(r["block"], np.float64)
-        flat[r["key"] * width : r["key"] * width + x.size] = x
-    sent.unpersist()
-    cut = n * CLASSES
-    return flat[:cut].reshape(n, CLASSES), flat[cut : 2 * cut].reshape(n, CLASSES), flat[2 * cut :].reshape(CLASSES, HEAD)
-
-
-def train(docs: DataFrame, vocabulary: DataFrame, rounds: int = ROUNDS) -> tuple[Model, int, int]:
-    """Fit on ``docs`` (text); every round walks all of them, for the next template of features."""
-    small_batches(docs.sparkSession)
-    model, n, v = start(vocabulary)
-    head = min(HEAD - 1, len(model.words))
-    pairs = np.zeros((CLASSES, HEAD))
-    for r in range(rounds if n else 0):
-        low, high = TEMPLATES[r % len(TEMPLATES)]
-        came, expected, seen = _gather(docs, model, r % len(TEMPLATES), paired=r == 0)
-        pairs += seen
-        prior = SMOOTH * np.exp(model.bias)
-        step = np.log((came + prior) / (expected + prior))
-        model.trained[r % len(TEMPLATES)] = True
-        model.weights[low:high] = np.clip(model.weights[low:high] + RATE * step, -8, 8)
-    # the second factor: shares after each class, drawn towards the share after any
-    base = 10.0 ** model.within[:, :head]
-    of = model.klass[:head]
-    mass = np.zeros((CLASSES, CLASSES))
-    np.add.at(mass.T, of, pairs[:, :head].T)
-    model.within[:, :head] = np.log10((pairs[:, :head] + 100 * base) / (mass[:, of] + 100))
-    return model, n, v
+def _room() -> tuple[np.ndarray, np.ndarray]:
+    """Memory for the numbers of one chunk, used again and again."""
+    return np.empty((CHUNK, CLASSES), np.float32), np.empty((CHUNK, CLASSES), np.float32)
+
+
+@dataclass
+class Model:
+    """Everything a task needs to score codes; its size does not depend on the corpus."""
+
+    log_count: np.ndarray  # log10(count + 1) by number
+    klass: np.ndarray  # class by number
+    slot: np.ndarray  # place in the class by number; 0 for rare words
+    end: int  # number of the end token
+    room: np.ndarray  # log10 of count and types of each class of rare words
+    bias: tuple[np.ndarray, np.ndarray]  # (CLASSES,), (HEAD_CLASSES, SLOTS)
+    weights: tuple[np.ndarray, np.ndarray]  # (FIRST[-1], CLASSES), (HEAD_CLASSES * SECOND[-1], SLOTS)
+
+    def classes(self, codes: np.ndarray) -> np.ndarray:
+        return np.where(codes < 0, HEAD_CLASSES + (-1 - codes) % TAIL_CLASSES, self.klass[np.maximum(codes, -1)])
+
+    def features(self, codes: np.ndarray, klass: np.ndarray, starts: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Rows of the first factor, by template, and rows of the second within those of the token's class."""
+        own = np.where((codes >= 0) & (codes < HEAD), codes, HEAD + np.abs(codes) % (BUCKETS - HEAD)).astype(np.uint16)
+        near = (klass * (NEAR // CLASSES)).astype(np.uint16) + own % np.uint16(NEAR // CLASSES)
+        end = int(self.klass[self.end]) * (NEAR // CLASSES) + self.end % (NEAR // CLASSES)
+        mixed = lambda one, two, n: ((one * np.uint32(40_503) + two * np.uint32(2_654_435_761)) >> np.uint32(7)) % np.uint32(n)
+        (a, b, c), (x, y, z) = _back(own, starts, self.end), _back(near, starts, end)
+        first = [a, b + np.uint16(FIRST[1]), c + np.uint16(FIRST[2]), mixed(a.astype(np.uint32), b.astype(np.uint32), PAIRS).astype(np.uint16) + np.uint16(FIRST[3])]
+        return first, [x, y + np.uint16(SECOND[1]), z + np.uint16(SECOND[2]), mixed(x.astype(np.uint32), y.astype(np.uint32), NEAR_PAIRS).astype(np.uint16) + np.uint16(SECOND[3])]
+
+    def decisions(self, codes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]:
+        """(factor, tokens it is for, rows by template, class of the bias, outcome)."""
+        klass = self.classes(codes)
+        first, second = self.features(codes, klass, starts)
+        yield 0, np.arange(len(codes)), first, klass, klass
+        at = np.flatnonzero(klass < HEAD_CLASSES)
+        base = (klass[at] * SECOND[-1]).astype(np.uint16)
+        yield 1, at, [base + x[at] for x in second], klass[at], self.slot[codes[at]]
+
+    def odds(self, factor: int, rows: list[np.ndarray], given: np.ndarray, room: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """What P(outcome | rows) is proportional to, for each token; weights are bounded, so nothing overflows."""
+        z, more = (x[: len(given)] for x in room)
+        np.take(self.weights[factor], rows[0], axis=0, out=z, mode="clip")
+        for r in rows[1:]:
+            z += np.take(self.weights[factor], r, axis=0, out=more, mode="clip")
+        z += np.take(self.bias[factor], given, axis=0, out=more, mode="clip") if factor else self.bias[0]
+        return np.exp(z, out=z)
+
+    def logs(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """log10 P of each token but, for those outside the dictionary, log10 of their count and one."""
+        out, room, ones = np.zeros(len(codes)), _room(), np.ones(CLASSES, np.float32)
+        for factor, at, rows, given, outcome in self.decisions(codes, starts):
+            for a in range(0, len(at), CHUNK):
+                z = self.odds(factor, [r[a : a + CHUNK] for r in rows], given[a : a + CHUNK], room)
+                out[at[a : a + CHUNK]] += np.log10(z[np.arange(len(z)), outcome[a : a + CHUNK]] / (z @ ones))
+            if not factor:
+                rare = outcome >= HEAD_CLASSES
+                out[rare] += np.where(codes[rare] < 0, 0, self.log_count[np.maximum(codes[rare], 0)]) - self.room[outcome[rare] - HEAD_CLASSES]
+        return out
+
+
+def add_came(model: Model, flat: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> None:
+    """Add how often each outcome came with each row, of both factors."""
+    for factor, _, rows, _, outcome in model.decisions(codes, starts):
+        width, low = (CLASSES, SLOTS)[factor], factor * CELLS[0]
+        part = flat[low : low + CELLS[factor]]
+        for r in rows:
+            part += np.bincount(r.astype(np.int64) * width + outcome, minlength=CELLS[factor])
+
+
+def add_expected(model: Model, flat: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> None:
+    """Add how often the model expects each outcome with each row, of both factors."""
+    room, ones = _room(), np.ones(CLASSES, np.float32)
+    for factor, at, rows, given, _ in model.decisions(codes, starts):
+        table = flat[factor * CELLS[0] :][: CELLS[factor]].reshape(-1, (CLASSES, SLOTS)[factor])
+        for a in range(0, len(at), CHUNK):
+            part = [r[a : a + CHUNK] for r in rows]
+            p = model.odds(factor, part, given[a : a + CHUNK], room)
+            p /= (p @ ones)[:, None]
+            for r in part:
+                order = np.argsort(r, kind="stable")  # a radix sort, for 16 bits
+                same = r[order]
+                first = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
+                sorted_ = np.take(p, order, axis=0, out=room[1][: len(p)], mode="clip").view(np.complex64)  # two numbers are added at once
+                table[same[first]] += np.add.reduceat(sorted_, first, axis=0).view(np.float32)
+
+
+def add_neighbours(flat: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> None:
+    """Add how often each frequent word has each of the signs before and after it."""
+    sign = np.where((codes >= 0) & (codes < SIGNS - 1), codes, SIGNS - 1)
+    own = (codes >= 0) & (codes < HEAD)
+    inner = np.ones(len(codes), bool)
+    inner[starts] = False  # nothing stands before a text
+    at = np.flatnonzero(own & inner)
+    flat += np.bincount(codes[at] * 2 * SIGNS + sign[at - 1], minlength=flat.size)
+    at = np.flatnonzero(own[:-1] & inner[1:])
+    flat += np.bincount(codes[at] * 2 * SIGNS + SIGNS + sign[at + 1], minlength=flat.size)
+
+
+def clusters(seen: np.ndarray, n: int) -> np.ndarray:
+    """``n`` classes, of ``SLOTS`` words at most, of the rows of ``seen``: halved again and again along the direction in which they differ most."""
+    shares = np.sqrt(seen / np.maximum(seen.sum(axis=1, keepdims=True), 1))
+    out = np.zeros(len(seen), np.int64)
+
+    def part(rows: np.ndarray, low: int, n: int) -> None:
+        if n < 2 or not len(rows):
+            out[rows] = low
+            return
+        x = shares[rows] - shares[rows].mean(axis=0)
+        along = np.linalg.eigh(x.T @ x)[1][:, -1]
+        along *= np.sign(along[np.abs(along).argmax()])
+        order = rows[np.argsort(x @ along, kind="stable")]
+        cut = -(-len(rows) * (n // 2) // n)
+        part(order[:cut], low, n // 2), part(order[cut:], low + n // 2, n - n // 2)
+
+    part(np.arange(len(seen)), 0, n)
+    return out
+
+
+def start(vocabulary: DataFrame, top: list[tuple[bytes, int]], klass: np.ndarray) -> Model:
+    """A model of exact unigram counts; ``klass`` has the classes of the frequent words."""
+    counts, head = np.array([c for _, c in top], np.float64), len(klass)
+    of = np.concatenate([klass, [tail_class(w) + HEAD_CLASSES for w, _ in top[head:]], [0]]).astype(np.int64)
+    slot = np.zeros(len(top) + 1, np.int64)
+    mass, types, shares = np.zeros(CLASSES), np.zeros(CLASSES), np.full((HEAD_CLASSES, SLOTS), 1e-9)
+    for k in range(HEAD_CLASSES):
+        own = np.flatnonzero(klass == k)
+        slot[own] = np.arange(len(own))
+        mass[k] = counts[own].sum()
+        shares[k, : len(own)] = counts[own] / max(mass[k], 1)
+    ending = F.pmod(F.xxhash64(F.expr("substring(word, -2, 2)")), F.lit(TAIL_CLASSES)).cast("int")  # as tail_class()
+    for r in vocabulary.groupBy(ending.alias("k")).agg(F.sum("c").alias("m"), F.count("*").alias("t")).collect():
+        mass[HEAD_CLASSES + r["k"]], types[HEAD_CLASSES + r["k"]] = r["m"], r["t"]
+    for w, c in top[:head]:  # those have classes of their own
+        mass[HEAD_CLASSES + tail_class(w)] -= c
+        types[HEAD_CLASSES + tail_class(w)] -= 1
+    bias = np.log((mass + 1) / (mass + 1).sum()).astype(np.float32), np.log(shares / shares.sum(axis=1, keepdims=True)).astype(np.float32)
+    room = np.log10(mass[HEAD_CLASSES:] + types[HEAD_CLASSES:] + 1)
+    end = next((i for i, (w, _) in enumerate(top) if w == END), 0)
+    weights = np.zeros((FIRST[-1], CLASSES), np.float32), np.zeros((HEAD_CLASSES * SECOND[-1], SLOTS), np.float32)
+    return Model(np.log10(np.append(counts, 0) + 1), of, slot, end, room, bias, weights)
+
+
+def _tables(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return flat[: CELLS[0]].reshape(-1, CLASSES), flat[CELLS[0] :].reshape(-1, SLOTS)
+
+
+def update(model: Model, came: np.ndarray, expected: np.ndarray | None) -> None:
+    """One step of the weights of all templates; without ``expected`` it is what zero weights expect."""
+    for factor, (seen, width) in enumerate(zip(_tables(came), (FIRST[-1], SECOND[-1]))):
+        p = np.exp(model.bias[factor]).reshape(-1, seen.shape[1])
+        p = np.repeat(p, width, axis=0) if factor else p
+        prior = SMOOTH[factor] * p
+        thought = seen.sum(axis=1, keepdims=True) * p if expected is None else _tables(expected)[factor]
+        step = np.log((seen + prior) / (thought + prior))
+        starts = (FIRST, SECOND)[factor]
+        for t, (a, b) in enumerate(zip(starts, starts[1:])):
+            rows = np.concatenate([np.arange(a, b) + k * width for k in range(len(seen) // width)])
+            w = model.weights[factor][rows] + (MIX[t] if expected is None else RATE) * step[rows]
+            model.weights[factor][rows] = np.clip(w, -8, 8)
+
+
+def train(codes: DataFrame, vocabulary: DataFrame, top: list[tuple[bytes, int]], rounds: int = ROUNDS) -> Model:
+    """Fit on the ``codes`` of the training texts; every round walks all of them for all templates."""
+    sc, head = codes.sparkSession.sparkContext, min(HEAD, len(top))
+    signs = summed(codes, add_neighbours, HEAD * 2 * SIGNS).reshape(HEAD, -1)[:head] if head else np.zeros((0, 1))
+    model = start(vocabulary, top, clusters(signs, HEAD_CLASSES))
+    if not head:
+        return model
+
+    def walk(add: Callable) -> np.ndarray:
+        sent = sc.broadcast(model)
+        flat = summed(codes, lambda *x: add(sent.value, *x), sum(CELLS))
+        sent.unpersist()
+        return flat
+
+    came = walk(add_came)
+    update(model, came, None)
+    for _ in range(rounds):
+        update(model, came, walk(add_expected))
+    return model
 
 
 def score(docs: DataFrame, folds: int = 7, held: int = 2, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
     A null text is empty: one end token.  Repeated rows are scored, and learnt
-    from, each; a null doc_id counts as empty text when the fold is taken.
-    Without training texts all counts are 0.  Extra columns are ignored, an
-    empty table gives an empty result.
+    from, each; a null doc_id counts as empty text when the fold is taken.  Very
+    long texts are read whole, very long words count like any other.  Without
+    training texts all counts are 0.  Extra columns are ignored, whatever they
+    are called; an empty table gives an empty result.
     """
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder("doc_id", folds) == held).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    learnt = rows.where("NOT held_out")
-    vocabulary = stored(word_counts(learnt), "vocabulary")
-    model, n, v = train(learnt, vocabulary, rounds)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [words_of(x) for x in raw(batch.column(2))]
-        logs, counts, known, outside = sent.value.score(texts)
-        numbers = batch.column(3).to_pylist()
-        # a text's own row has a key that no word can have, so that the join deals it like any other
-        k = len(texts)
-        word = [END + str(i).encode() for i in numbers] + [w for c in outside for w in c]
-        times = [0] * k + [t for c in outside for t in c.values()]
-        owner = numbers + [i for i, c in zip(numbers, outside) for _ in c]
-        pad = lambda x, kind: pa.concat_arrays([pa.array(x, kind), pa.nulls(len(word) - k, kind)])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(owner, pa.int64()), pa.array(word, pa.binary()), pa.array(times, pa.int64()),
-                pad(batch.column(0).to_pylist(), pa.int64()), pad(batch.column(1).to_pylist(), pa.bool_()), pad([len(t) for t in texts], pa.int64()),
-                pad(known.tolist(), pa.int64()), pad(counts.tolist(), pa.float64()), pad(logs.tolist(), pa.float64()),
-            ],
-            names=["row", "word", "times", "doc_id", "held_out", "n_tokens", "known", "counts", "logs"],
-        )
-
-    parts = map_arrow(numbered, run, "row long, word binary, times long, doc_id long, held_out boolean, n_tokens long, known long, counts double, logs double")
-    met = parts.join(vocabulary, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    rare = F.sum(F.col("times") * F.log10(F.col("c") + F.lit(1.0)))
-    whole = met.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("known") + F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0))).alias("n_known"),
-        (F.max("counts") + rare).alias("counts"), (F.max("logs") + rare).alias("score"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder("doc_id", folds) == held).alias("held_out"), F.col("text").cast("string").alias("text"))
+    vocabulary = stored(word_counts(rows.where("NOT held_out")), "vocabulary")
+    n, v = (int(x or 0) for x in vocabulary.agg(F.sum("c"), F.count("*")).first())
+    top = _most_frequent(vocabulary)
+    known = encoded(rows, {w: i for i, (w, _) in enumerate(top)}, np.log10(np.array([c for _, c in top], np.float64) + 1))
+    sent = docs.sparkSession.sparkContext.broadcast(train(known.where("NOT held_out"), vocabulary, top, rounds))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                codes, starts = _joined(batch.column(6))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(np.add.reduceat(sent.value.logs(codes, starts), starts))], names=[*batch.schema.names[:6], "logs"])
+
+    told = arrow_batches(
+        known.select("row", "doc_id", "held_out", "n_tokens", "known", "counts", "codes"), run, "row long, doc_id long, held_out boolean, n_tokens long, known long, counts double, logs double"
+    )
+    outside = known.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
+    met = outside.join(vocabulary, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + F.lit(1.0))).alias("rare"), F.sum("times").alias("more"))  # others add nothing
+    rare, room = F.coalesce("rare", F.lit(0.0)), float(np.log10(n + v + 1))
+    return told.join(met, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("counts") + rare - F.col("n_tokens") * F.lit(room)).alias("base_score"), (F.col("logs") + rare).alias("score"),
     )
-    room = float(np.log10(n + v + 1))
-    return whole.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), (F.col("counts") - F.col("n_tokens") * F.lit(room)).alias("base_score"), "score")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import map_arrow, raw, small_batches
+from trailmark.llm.common import arrow_batches, map_arrow, raw
 from trailmark.operators.components import connected_components
 from trailmark.plans.shared import stored
 
@@ -139,8 +139,6 @@ def _search(radius: int):
 
 def near_links(fps: DataFrame, radius: int = 4, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Links (src, dst) that connect all of the distinct long ``fp`` that lie within ``radius``."""
-    small_batches(fps.sparkSession)
-    fps.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")  # of 16 bytes
     keys: list[Column] = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(covering_masks(radius))]
     buckets = fps.select("fp", F.explode(F.array(*keys)).alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select("bucket", F.ceil(F.col("n") / bucket_rows).cast("int").alias("chunks"))
@@ -151,7 +149,7 @@ def near_links(fps: DataFrame, radius: int = 4, bucket_rows: int = BUCKET_ROWS)
     )
     cells = buckets.join(crowded, "bucket", "left").withColumn("mine", mine).select("fp", F.explode(spread).alias("bucket"))
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells.select("bucket", "fp").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_search(radius), "src long, dst long")
+    return arrow_batches(cells.select("bucket", "fp").repartition(n, "bucket").sortWithinPartitions("bucket"), _search(radius), "src long, dst long")
 
 
 def fingerprints(docs: DataFrame, width: int = 4, keep: list[str] | None = None) -> DataFrame:
