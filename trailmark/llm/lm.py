@@ -116,8 +116,8 @@ def _most_frequent(vocabulary: DataFrame) -> list[tuple[bytes, int]]:
         least = r["level"]
     if least is None:
         return []
-    found = [(bytes(r["word"]), r["c"]) for r in vocabulary.where(level >= least).collect()]
-    return sorted(found, key=lambda x: (-x[1], x[0]))
+    found = vocabulary.where(level >= least).select("word", "c").toArrow()
+    return sorted(zip(found.column(0).to_pylist(), found.column(1).to_pylist()), key=lambda x: (-x[1], x[0]))
 
 
 def encode(text: bytes, words: dict[bytes, int]) -> tuple[np.ndarray, dict[bytes, int]]:
@@ -171,11 +171,11 @@ def summed(codes: DataFrame, add: Callable[[np.ndarray, np.ndarray, np.ndarray],
     """Sum over all texts of what ``add`` puts into an array of ``size``; each task sends only blocks with numbers in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, pack = np.zeros(size), zstandard.ZstdCompressor(level=1)
+        flat, pack = np.zeros(size, np.float32), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             if batch.num_rows:
                 add(flat, *_joined(batch.column(0)))
-        flat = (flat.astype(np.float32).view(np.uint32) + np.uint32(1 << 6)) & np.uint32(0xFFFFFF80)  # 17 bits are enough, and shrink
+        flat = (flat.view(np.uint32) + np.uint32(1 << 6)) & np.uint32(0xFFFFFF80)  # 17 bits are enough, and shrink
         for k in range(0, size, BLOCK):
             part = flat[k : k + BLOCK]
             if part.any():
@@ -246,11 +246,13 @@ class Model:
         return first, [x, y + np.uint16(SECOND[1]), z + np.uint16(SECOND[2]), mixed(x.astype(np.uint32), y.astype(np.uint32), NEAR_PAIRS).astype(np.uint16) + np.uint16(SECOND[3])]
 
     def decisions(self, codes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]:
-        """(factor, tokens it is for, rows by template, class of the bias, outcome)."""
+        """(factor, tokens it is for, rows by template, class of the bias, outcome), in an order that keeps the rows in use few."""
         klass = self.classes(codes)
         first, second = self.features(codes, klass, starts)
-        yield 0, np.arange(len(codes)), first, klass, klass
-        at = np.flatnonzero(klass < HEAD_CLASSES)
+        at = np.argsort(first[0], kind="stable")
+        yield 0, at, [x[at] for x in first], klass[at], klass[at]
+        at = np.argsort(klass.astype(np.uint8), kind="stable")
+        at = at[: np.count_nonzero(klass < HEAD_CLASSES)]
         base = (klass[at] * SECOND[-1]).astype(np.uint16)
         yield 1, at, [base + x[at] for x in second], klass[at], self.slot[codes[at]]
 
@@ -271,8 +273,8 @@ class Model:
                 z = self.odds(factor, [r[a : a + CHUNK] for r in rows], given[a : a + CHUNK], room)
                 out[at[a : a + CHUNK]] += np.log10(z[np.arange(len(z)), outcome[a : a + CHUNK]] / (z @ ones))
             if not factor:
-                rare = outcome >= HEAD_CLASSES
-                out[rare] += np.where(codes[rare] < 0, 0, self.log_count[np.maximum(codes[rare], 0)]) - self.room[outcome[rare] - HEAD_CLASSES]
+                rare = at[outcome >= HEAD_CLASSES]
+                out[rare] += np.where(codes[rare] < 0, 0, self.log_count[np.maximum(codes[rare], 0)]) - self.room[outcome[outcome >= HEAD_CLASSES] - HEAD_CLASSES]
         return out
 
 
@@ -282,7 +284,7 @@ def add_came(model: Model, flat: np.ndarray, codes: np.ndarray, starts: np.ndarr
         width, low = (CLASSES, SLOTS)[factor], factor * CELLS[0]
         part = flat[low : low + CELLS[factor]]
         for r in rows:
-            part += np.bincount(r.astype(np.int64) * width + outcome, minlength=CELLS[factor])
+            part += np.bincount(r.astype(np.int64) * width + outcome, minlength=CELLS[factor]).astype(np.float32)
 
 
 def add_expected(model: Model, flat: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> None:
@@ -364,17 +366,15 @@ def _tables(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def update(model: Model, came: np.ndarray, expected: np.ndarray | None) -> None:
     """One step of the weights of all templates; without ``expected`` it is what zero weights expect."""
-    for factor, (seen, width) in enumerate(zip(_tables(came), (FIRST[-1], SECOND[-1]))):
-        p = np.exp(model.bias[factor]).reshape(-1, seen.shape[1])
-        p = np.repeat(p, width, axis=0) if factor else p
-        prior = SMOOTH[factor] * p
-        thought = seen.sum(axis=1, keepdims=True) * p if expected is None else _tables(expected)[factor]
-        step = np.log((seen + prior) / (thought + prior))
-        starts = (FIRST, SECOND)[factor]
-        for t, (a, b) in enumerate(zip(starts, starts[1:])):
-            rows = np.concatenate([np.arange(a, b) + k * width for k in range(len(seen) // width)])
-            w = model.weights[factor][rows] + (MIX[t] if expected is None else RATE) * step[rows]
-            model.weights[factor][rows] = np.clip(w, -8, 8)
+    for factor, (seen, cuts) in enumerate(zip(_tables(came), (FIRST, SECOND))):
+        for k, bias in enumerate(np.atleast_2d(model.bias[factor])):
+            p = np.exp(bias.astype(np.float64))
+            for t, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                rows = slice(k * cuts[-1] + a, k * cuts[-1] + b)
+                thought = seen[rows].sum(axis=1, keepdims=True) * p if expected is None else _tables(expected)[factor][rows]
+                step = np.log((seen[rows] + SMOOTH[factor] * p) / (thought + SMOOTH[factor] * p))
+                w = model.weights[factor][rows] + (MIX[t] if expected is None else RATE) * step
+                model.weights[factor][rows] = np.clip(w, -8, 8)
 
 
 def train(codes: DataFrame, vocabulary: DataFrame, top: list[tuple[bytes, int]], rounds: int = ROUNDS) -> Model:
