@@ -1,11 +1,15 @@
 """Hierarchical language identification with linear support vector machines.
 
-Features are hashed letter n-grams (one to three letters, with word bounds) of
-the whole text, square-rooted and scaled to length one.  One-versus-rest
+Features are hashed n-grams of the whole text's UTF-8 bytes (one to three bytes,
+with word bounds; lower-cased, what is neither a letter a-z nor beyond ASCII being
+a bound), square-rooted and scaled to length one.  One-versus-rest
 machines choose the language family; within it, one machine for each pair of
 languages votes.  Machines are fitted in the primal with squared hinge loss on
-a bounded sample of ``per_lang`` texts a language; a logistic curve over the
-margins of a part that was held back turns margins into probabilities.
+a bounded sample: at most ``per_lang`` texts a language and about ``sample_rows``
+in all, but never fewer than ``LEAST`` of a language that has so many, whatever
+their length; every language is learnt.  The tasks compute the features of
+whole texts, the driver gets numbers of fixed size.  A logistic curve over
+the margins of a part that was held back turns margins into probabilities.
 """
 
 from __future__ import annotations
@@ -16,13 +20,14 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.llm.common import map_arrow, remainder
 
 BUCKETS = 4096
-PER_LANG, SAMPLE_BYTES, MOST_LANGS = 1000, 16 << 10, 200
+PER_LANG, SAMPLE_ROWS, LEAST = 1000, 8000, 20
 
 #: Language -> family; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -105,10 +110,11 @@ class Model:
         return langs, np.clip(score, 0, 1)
 
 
-def fit(texts: list[str], langs: list[str], families: dict[str, str] | None = None) -> Model:
+def fit(x: np.ndarray, langs: list[str], families: dict[str, str] | None = None) -> Model:
+    """Fit on rows of features and their languages."""
     known = FAMILIES if families is None else families
-    x, of = np.array([features(t) for t in texts], dtype=np.float32).reshape(len(texts), BUCKETS), np.array([known.get(v, v) for v in langs], dtype=object)
-    lang, back = np.array(langs, dtype=object), np.arange(len(texts)) % 5 == 4
+    of = np.array([known.get(v, v) for v in langs], dtype=object)
+    lang, back = np.array(langs, dtype=object), np.arange(len(langs)) % 5 == 4
     names = tuple(sorted(set(of.tolist())))
     members = tuple(tuple(sorted({v for v, f in zip(langs, of) if f == n})) for n in names)
     top, margins, signs = [], [], []
@@ -126,27 +132,46 @@ def fit(texts: list[str], langs: list[str], families: dict[str, str] | None = No
     return Model(names, members, np.array(top), _slope(np.concatenate(margins), np.concatenate(signs)) if top else 1.0, pairs)
 
 
-def train(docs: DataFrame, folds: int = 3, held: int = 1, per_lang: int = PER_LANG, sample_bytes: int = SAMPLE_BYTES) -> Model:
-    """Fit on at most ``per_lang`` texts, of at most ``sample_bytes`` each, of every language outside the held-out fold."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(remainder("doc_id", folds) != held)
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
-    share = F.lit(0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], int((1 << 20) * min(1.0, 1.3 * per_lang / r["n"]))).otherwise(share)
-    picked = rows.where(F.octet_length("text") <= sample_bytes).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+def train(docs: DataFrame, folds: int = 3, held: int = 1, per_lang: int = PER_LANG, sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Fit on a hash-ordered sample of every language outside the held-out fold.
+
+    Rows without a language, a text or a letter teach nothing; repeated rows
+    count once.  Without any such row nothing is learnt, and all is ``und``.
+    """
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).where(remainder("doc_id", folds) != held)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    n_langs = counts.count()
+    most = max(LEAST, min(per_lang, sample_rows // max(n_langs, 1)))
+    share = counts.select("lang", F.least(F.lit(1.0), 1.3 * (most + 10) / F.col("n")).alias("share"))  # a row for each language
+    h = F.xxhash64("doc_id", "text")
+    picked = rows.select("lang", "text", h.alias("h")).join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    once = picked.groupBy("lang", "h").agg(F.min("text").alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pack = zstandard.ZstdCompressor(level=1)
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([pack.compress(features(t).tobytes()) for t in batch.column(2).to_pylist()], pa.binary())], names=["lang", "h", "x"])
+
     got: dict[str, list] = {}
-    for r in picked.limit(2 * per_lang * max(1, len(counts))).toLocalIterator():
-        if len(got.setdefault(r["lang"], [])) < 2 * per_lang:
-            got[r["lang"]].append((r["h"], r["text"]))
-    sample = sorted((h, t, lang) for lang, found in got.items() for h, t in sorted(found)[:per_lang] if _LETTER.search(t))
-    return fit([t for _, t, _ in sample], [v for _, _, v in sample])
+    for r in map_arrow(once, run, "lang string, h long, x binary").toLocalIterator():
+        own = got.setdefault(r["lang"], [])
+        own.append((r["h"], bytes(r["x"])))
+        if len(own) > 2 * most:
+            own.sort()
+            del own[most:]
+    sample = sorted((h, x, lang) for lang, found in got.items() for h, x in sorted(found)[:most])
+    unpack = zstandard.ZstdDecompressor()
+    x = np.empty((len(sample), BUCKETS), np.float32)
+    for i, (_, packed, _) in enumerate(sample):
+        x[i] = np.frombuffer(unpack.decompress(packed), np.float32)
+    return fit(x, [v for _, _, v in sample])
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str], folds: int = 3, held: int = 1) -> DataFrame:
     """``keep`` columns plus held_out, lang_pred and score, for every row.
 
-    ``und`` with score 0 for a null text or one without a letter.  A null
-    doc_id counts as empty text when the fold is taken.  Columns of ``keep``
+    ``und`` with score 0 for a null or empty text or one without a letter; very
+    long texts are read whole; repeated rows get the same answer.  An empty table
+    gives an empty result.  A null doc_id counts as empty text when the fold is taken.  Columns of ``keep``
     that are called held_out, lang_pred or score are replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # some weights for each family and pair, whatever the input

@@ -8,8 +8,11 @@ plain compressed size, together with how far the text compresses at all and how
 short it is, goes through a logistic curve fitted on labelled text that neither
 dictionary has seen.
 
-The labelled sample is bounded (``sample_rows`` rows of each label, of at most
-``sample_bytes`` each); scoring reads every whole text.
+The labelled sample is bounded: about ``sample_rows`` documents of each label, of
+any length.  Half of them make the dictionaries, from whole blocks drawn evenly
+over all their text up to about ``sample_bytes`` a label; of the other half the tasks
+compute the curve's inputs from the whole texts, so the driver never holds one.
+Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -18,14 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.llm.common import map_arrow, raw, remainder
+from trailmark.plans.shared import forget, stored
 
 CHUNK, DICTIONARY_BYTES, LEVEL = 4096, 110 << 10, 1
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 16 << 10
+SAMPLE_ROWS, SAMPLE_BYTES = 4000, 8 << 20
 THRESHOLD = 0.3
 
 
@@ -33,9 +38,8 @@ def _chunks(text: bytes) -> list[bytes]:
     return [text[i : i + CHUNK] for i in range(0, len(text), CHUNK)]
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    """A trained dictionary, or the joined texts where they are too few to train on."""
-    parts = [c for t in texts for c in _chunks(t)]
+def _dictionary(parts: list[bytes]) -> bytes:
+    """A trained dictionary, or the joined blocks where they are too few to train on."""
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
@@ -72,49 +76,66 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights), -30, 30)))
 
 
-def fit(good: list[bytes], bad: list[bytes], share_good: float = 0.5) -> Model:
-    """Every other text makes the dictionaries, the rest the curve, weighted to the share of good labels."""
-    dict_good, dict_bad = _dictionary(good[::2]), _dictionary(bad[::2])
-    sizes = Sizes(dict_good, dict_bad)
-    held = [(t, 1.0) for t in good[1::2] or good] + [(t, 0.0) for t in bad[1::2] or bad]
+def fit_curve(x: np.ndarray, y: np.ndarray, share_good: float) -> tuple[float, ...]:
+    """Weights of the logistic curve for rows of inputs and labels 0 or 1, weighted to the share of good labels."""
     beta = np.zeros(10)
-    if held:
-        x, y = np.array([sizes.features(t) for t, _ in held]), np.array([v for _, v in held])
-        w = np.where(y == 1, share_good / max(y.sum(), 1), (1 - share_good) / max((1 - y).sum(), 1)) * len(y)
-        for _ in range(60):
-            p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-            hessian = x.T @ (x * (w * p * (1 - p) + 1e-6)[:, None]) + 0.1 * np.eye(len(beta))
-            beta = beta + np.linalg.solve(hessian, x.T @ (w * (y - p)) - 0.1 * beta)
-    return Model(dict_good, dict_bad, tuple(beta.tolist()))
+    w = np.where(y == 1, share_good / max(y.sum(), 1), (1 - share_good) / max((1 - y).sum(), 1)) * len(y)
+    for _ in range(60 if len(y) else 0):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        hessian = x.T @ (x * (w * p * (1 - p) + 1e-6)[:, None]) + 0.1 * np.eye(len(beta))
+        beta = beta + np.linalg.solve(hessian, x.T @ (w * (y - p)) - 0.1 * beta)
+    return tuple(beta.tolist())
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on labelled rows outside the held-out fold.
 
     Labels other than 0 and 1 are left out; a document labelled more than once
-    counts once per distinct label.  Without labels of both kinds the score is
-    a constant.
+    counts once per distinct label, and a doc_id that several rows have counts
+    with the least of their texts.  Null texts are empty.  Without labels of both
+    kinds, or with empty tables, the score is a constant.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("quality")).where("_id IS NOT NULL AND quality IN (0, 1)").where(remainder("_id", folds) != held).distinct()
     counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    texts: dict[int, list[bytes]] = {0: [], 1: []}
-    for label, n in counts.items():
-        # a hash-ordered sample of about sample_rows ids: small enough to broadcast, and texts are never shuffled
-        share = F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample_rows / n))
-        ids = known.where(F.col("quality") == label).where(share).limit(2 * sample_rows)
-        sample = docs.select(F.col("doc_id").alias("_id"), "text").where(F.octet_length("text") <= sample_bytes).join(F.broadcast(ids), "_id", "left_semi")
-        rows = sample.select("_id", "text").limit(2 * sample_rows).collect()
-        texts[label] = [r["text"].encode() for r in sorted(rows, key=lambda r: (str(r["_id"])[::-1], r["text"]))]
-    total = sum(counts.values())
-    return fit(texts[1], texts[0], counts.get(1, 0) / total if total else 0.5)
+    if not counts:
+        return Model(b"", b"", (0.0,) * 10)
+    # a hash-ordered sample of about sample_rows ids: small enough to broadcast
+    share = F.create_map(*[F.lit(x) for label, n in counts.items() for x in (label, int((1 << 20) * min(1.0, sample_rows / n)))])
+    ids = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < share[F.col("quality")])
+    met = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "_id")
+    sample = stored(met.groupBy("_id", "quality").agg(F.min("text").alias("text")), "labelled")
+    half = F.pmod(F.xxhash64(F.lit("half"), "_id"), F.lit(2))
+    sizes = {r["quality"]: r["n"] or 0 for r in sample.where(half == 0).groupBy("quality").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    limit = {label: (1 << 32) * min(1.0, sample_bytes / max(n, 1)) for label, n in sizes.items()}
+
+    def pick(batch: pa.RecordBatch) -> pa.RecordBatch:
+        told = [(q, c) for i, q, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), raw(batch.column(2))) for at, c in enumerate(_chunks(t)) if xxhash.xxh32_intdigest(f"{at} {i}") < limit[q]]
+        return pa.RecordBatch.from_arrays([pa.array([q for q, _ in told], pa.int32()), pa.array([c for _, c in told], pa.binary())], names=["quality", "part"])
+
+    parts: dict[int, list[bytes]] = {0: [], 1: []}
+    picked = map_arrow(sample.where(half == 0).select(F.col("_id").cast("string"), "quality", "text"), pick, "quality int, part binary").toArrow()
+    for label, part in zip(picked.column(0).to_pylist(), picked.column(1).to_pylist()):
+        parts[label].append(part)
+    good, bad = (_dictionary(sorted(parts[k], key=xxhash.xxh64_intdigest)) for k in (1, 0))
+
+    def inputs(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes = Sizes(good, bad)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([sizes.features(t) for t in raw(batch.column(1))], pa.list_(pa.float64()))], names=["quality", "x"])
+
+    held_back = sample if sample.where(half == 1).select("quality").distinct().count() < len(counts) else sample.where(half == 1)  # a handful of labels serves for both
+    told = sorted((r["quality"], r["x"]) for r in map_arrow(held_back.select("quality", "text"), inputs, "quality int, x array<double>").collect())
+    forget(sample)
+    weights = fit_curve(np.array([x for _, x in told]).reshape(-1, 10), np.array([y for y, _ in told], float), counts.get(1, 0) / sum(counts.values()))
+    return Model(good, bad, weights)
 
 
 def classify(docs: DataFrame, model: Model, keep: list[str], folds: int = 5, held: int = 0) -> DataFrame:
     """``keep`` columns plus held_out, score and predicted, for every row.
 
-    A null text is scored as empty; repeated rows get the same score; a null
-    doc_id counts as empty text when the fold is taken.  Columns of ``keep``
-    that are called held_out, score or predicted are replaced.
+    A null text is scored as empty, very long texts whole; repeated rows get the
+    same score; a null doc_id counts as empty text when the fold is taken.  An
+    empty table gives an empty result.  Columns of ``keep`` that are called
+    held_out, score or predicted are replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries and ten weights
     keep = [c for c in keep if c not in ("held_out", "score", "predicted")]
