@@ -141,7 +141,7 @@ def test_decontamination_matches_brute_force(spark, block_bytes):
     text = lambda n: " ".join(rng.choice("ab") + rng.choice("xy") for _ in range(n))
     items = [(1, text(14)), (2, "Solo"), (10, text(12)), (3, None), (4, " !? "), (5, text(10)), (5, text(11))]
     docs = [(i, text(rng.randint(0, 60))) for i in range(40)] + [(40, None), (41, ""), (42, "so, SOLO!"), (43, items[0][1].upper().replace(" ", "--")), (43, "x " * 50_000 + items[2][1])]
-    df = spark.createDataFrame(rows_of(docs), DOCS).withColumnRenamed("score", "n_hit")
+    df = spark.createDataFrame(rows_of(docs), DOCS).withColumnRenamed("score", "n_hit").withColumnRenamed("fp", "_row_")
     bench = spark.createDataFrame([(*x, "clash") for x in items], "item_id long, text string, doc_id string")
     got = decontam.decontaminate(spark, df, bench, block_bytes=block_bytes).collect()
     want = sorted((i, *slow_decontamination(t, items)) for i, t in docs if len(t or "") < 10_000)
@@ -149,5 +149,7 @@ def test_decontamination_matches_brute_force(spark, block_bytes):
     assert told == want
     assert all(r["items_sha256"] == hashlib.sha256(",".join(r["item_ids"]).encode()).hexdigest() and r["contaminated"] == (r["n_hit"] > 0) for r in got)
     assert next(r for r in got if r["n_words"] > 10_000)["n_hit"] >= 12
+    both = decontam.decontaminate(spark, df, bench, block_bytes=block_bytes, keep=("doc_id", "n_hit"))
+    assert both.columns[:3] == ["doc_id", "n_hit_", "n_words"] and {r["n_hit_"] for r in both.collect()} == {0.5}
     assert decontam.decontaminate(spark, df, bench.limit(0)).where("contaminated").count() == 0
     assert decontam.decontaminate(spark, df.limit(0), bench).count() == 0
