@@ -1,6 +1,8 @@
 """Page text, WARC derivatives, chat templates and packing."""
 
+import gzip
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -59,15 +61,50 @@ def test_warc_round_trip(spark, tmp_path):
             assert f"source-warc-payload-digest: {r['source_payload_digest']}" in r["block"] and "http-header-content-type: text/html" in r["block"]
     warc.write_files(out, str(tmp_path / "w"))
     read = [x for r in warc.read_files(spark, str(tmp_path / "w")).collect() for x in warc.parse(bytes(r["content"]))]
-    again = warc.read_files(spark, str(tmp_path / "w"))
-    if not read:  # Spark names its parts .txt.gz
-        again = spark.read.format("binaryFile").load(str(tmp_path / "w" / "*.gz"))
-        read = [x for r in again.collect() for x in warc.parse(bytes(r["content"]))]
     assert sorted((warc.first(f, "WARC-Record-ID"), b.decode()) for f, b in read) == sorted((r["record_id"], r["block"]) for r in rows)
     bad = spark.createDataFrame([(1, None), (2, bytearray(b"")), (3, bytearray(b"no record")), (4, bytearray(b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 99\r\n\r\nHTTP/1.1 200"))], "source_seq long, content binary")
     assert warc.derivatives(bad).count() == 0
 
 
+def test_warc_reader_goes_on_after_bad_records(spark, tmp_path):
+    good = [warc.response(f"http://h/{i}", b"<p>page %d</p>" % i, "2020-01-01T00:00:00Z") for i in range(6)]
+    head = b"WARC/1.0\r\nWARC-Type: response\r\n"
+    bad = [b"garbage\r\n\r\n", head + b"Content-Length: x\r\n\r\nabc\r\n\r\n", head + b"Content-Length: 100000\r\n\r\nHTTP/1.1 200 OK", head]
+    mixed = good[0] + bad[0] + good[1] + bad[1] + good[2] + bad[3] + good[3] + good[4] + bad[2]
+    zipped = b"".join(map(gzip.compress, good[:3])) + b"\x1f\x8b broken" + gzip.compress(good[3]) + gzip.compress(good[4])[:-9]
+    (tmp_path / "in").mkdir()
+    for name, data in (("a.warc", mixed), ("b.warc.gz", zipped), ("c.warc", b""), ("d.txt", b"nothing here")):
+        (tmp_path / "in" / name).write_bytes(data)
+    got = {}
+    for r in warc.read_files(spark, str(tmp_path / "in")).collect():
+        got.setdefault(r["path"].rsplit("/", 1)[1], []).extend(warc.first(f, "WARC-Target-URI") for f, _ in warc.parse(bytes(r["content"])))
+    assert got["a.warc"] == [f"http://h/{i}" for i in range(5)] and got["b.warc.gz"] == [f"http://h/{i}" for i in range(5)] and set(got) == {"a.warc", "b.warc.gz"}
+    told = warc.derivatives(warc.read_files(spark, str(tmp_path / "in"))).where("record_type = 'conversion'").collect()
+    assert sorted(r["block"] for r in told) == sorted([f"page {i}" for i in range(5)] * 2)
+
+
+def test_warc_heads_with_bare_line_feeds_and_long_bodies(spark):
+    block = b"HTTP/1.1 200 OK\nContent-Type: text/plain\n\nthe payload\n\nsecond"
+    record = b"WARC/1.0\nWARC-Type: response\nWARC-Target-URI: u\nContent-Length: %d\n\n" % len(block) + block + b"\n\n"
+    long = warc.response("v", b"<p>" + b"word " * 400_000, "d")
+    df = spark.createDataFrame([(1, bytearray(record), "x"), (2, bytearray(record + record), "y"), (3, bytearray(long), "z")], "source_seq long, content binary, block string")
+    rows = warc.derivatives(df).collect()
+    text = [r for r in rows if r["record_type"] == "conversion"]
+    assert [r["block"] for r in text if r["source_seq"] < 3] == ["the payload\n\nsecond"] * 3
+    assert all(r["http_status"] == 200 and "http-status: HTTP/1.1 200 OK\r\n" in r["block"] for r in rows if r["record_type"] == "metadata")
+    assert len(text[-1]["block"]) == 5 * 400_000 - 1
+    assert warc.derivatives(df.limit(0)).count() == 0
+
+
+def test_warc_time_grows_with_the_members():
+    one = gzip.compress(warc.response("http://h/", b"<p>x</p>" * 40, "d"))
+    def took(n):
+        began = time.process_time()
+        assert sum(1 for _ in warc.parse(one * n)) == n
+        return time.process_time() - began
+    assert took(8000) < 8 * took(2000)
+
+
 def test_chat_round_trip(spark):
     tricky = r"\### Assistant: </turn> <turn:user> &lt; &amp;lt; ok" + "\n"
     turns = [(1, 0, "system", "be brief"), (1, 1, "user", tricky), (1, 2, "assistant", tricky), (2, 0, "assistant", "no question"), (3, 0, "user", None), (3, 1, "assistant", ""), (4, 0, "user", "u"), (4, 0, "user", "u"), (None, None, None, "x"), (5, 0, "user", "y" * 300_000), (5, 1, "assistant", "z")]
