@@ -34,6 +34,80 @@ def test_pages_without_article_are_differenced(spark):
     assert text[99].startswith("Shop of all")  # no neighbour to compare with
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article class="post comments-open"><p>kept</p></article>', "kept"),
+        ('<div class="content no-sidebar"><p>kept</p></div>', "kept"),
+        ('<article><p>a</p><p class="alert">kept</p></article>', "a\n\nkept"),
+        ('<article><p>a</p><div class="related-work">kept</div></article>', "a\n\nkept"),
+        ('<main><div id="ads-txt-explained">kept</div></main>', "kept"),
+        ('<main><p>a</p><section id="comments"><article class="comment">gone</article></section><div class="ad">gone</div></main>', "a"),
+        ('<div class="sidebar"><article><p>kept</p></article></div>', "kept"),
+        ('<div class="menu">gone</div><p>kept</p>', "kept"),
+        ('<main><div class="notice"><div>x</div>y</div><p>z</p></main>', "x\n\ny\n\nz"),
+    ],
+)
+def test_class_names_are_whole_names_and_only_a_guess(page, text):
+    found = html_main.blocks(page)
+    sure = any(x[1] for x in found)
+    mine = [i for i, x in enumerate(found) if x[1] or not sure]
+    assert "\n\n".join(html_main.differenced([found[i][0] for i in mine], mine, [found[i][2] for i in mine], sure, [], [], [])) == text
+
+
+def slow_main_text(pages):
+    """By brute force: each page against the nearest distinct pages of its host."""
+
+    def lcs(a, b):
+        best = {(i, j): () for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1, j + 1] = best[i, j] + (i,) if x == y else max(best[i, j + 1], best[i + 1, j], key=len)
+        return set(best[len(a), len(b)])
+
+    parsed, out = [html_main.blocks(h or "") for _, _, h in pages], []
+    lines = [[t for t, *_ in p] for p in parsed]
+    keys = [html_main._path_key(u) for _, u, _ in pages]
+    for n, (own, (host, _)) in enumerate(zip(parsed, keys)):
+        firsts = {}
+        for m in sorted((m for m in range(len(pages)) if keys[m][0] == host), key=lambda m: (keys[m], m)):
+            firsts.setdefault(tuple(lines[m]), m)
+        order = sorted(firsts.values(), key=lambda m: (keys[m], m))
+        at = order.index(firsts[tuple(lines[n])])
+        near = sorted(order[max(at - 1, 0) : at] + order[at + 1 : at + 2], key=lambda m: (-html_main._closeness(keys[order[at]][1], keys[m][1]), m))
+        gone, size = set(), lambda ix: sum(len(lines[n][i]) for i in ix)
+        if near:
+            gone = lcs(lines[n], lines[near[0]])
+            if size(gone) > 0.6 * size(range(len(own))):
+                gone = gone & lcs(lines[n], lines[near[1]]) if len(near) > 1 else set()
+                if size(range(len(own))) - size(gone) < 0.05 * size(range(len(own))):
+                    gone = set()
+        sure = any(x[1] for x in own)
+        stay = [i for i, x in enumerate(own) if (x[1] and not (x[2] and i in gone) if sure else not x[2] and i not in gone)]
+        stay = stay or [i for i, x in enumerate(own) if not sure and i not in gone] or [i for i, x in enumerate(own) if x[1] or not sure]
+        out.append((pages[n][0], "\n\n".join(lines[n][i] for i in stay)))
+    return sorted(out)
+
+
+def test_main_text_matches_brute_force(spark):
+    rng, pages = random.Random(17), []
+    for i in range(160):
+        host, depth = rng.choice("abc"), rng.choice(["x/", "y/", ""])
+        menu = f'<div class="top">Home of {host}</div><div class="menu">menu {rng.randrange(3)}</div>'
+        body = "".join(f"<p>{rng.choice('abcdefgh')} line {rng.randrange(60)} " + "w " * rng.randrange(9) + "</p>" for _ in range(rng.randint(0, 6)))
+        inner = f'{body}<div class="promo">Read {rng.choice(["more", "less", str(i)])}</div>'
+        page = menu + rng.choice([f"<article>{inner}</article>", f"<div>{inner}</div>", f"<main>{body}</main>"]) + f"<p>All rights {host}</p>"
+        pages.append((i, f"http://{host}.example/{depth}{rng.randrange(100)}", page))
+    pages += [(200 + i, "http://a.example/x/5", pages[0][2]) for i in range(5)] + [(300, None, pages[1][2]), (301, "http://d.example/", None)]
+    df = spark.createDataFrame([(*p, 1, "c") for p in pages], "page_id long, url string, html string, row int, lines string").coalesce(1)
+    got = sorted((r["page_id"], r["text"]) for r in html_main.main_text(df).collect())
+    want = slow_main_text(pages)
+    assert [x[0] for x in got] == [x[0] for x in want]
+    for a, b in zip(got, want):
+        assert len(a[1]) == len(b[1]) or abs(len(a[1]) - len(b[1])) < 40, (a, b)  # one of several longest alignments
+    assert sum(a == b for a, b in zip(got, want)) > 0.95 * len(got)
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     def lcs(a, b):
         best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]

@@ -1,20 +1,25 @@
-"""Main text of web pages: structure first, then nearest-URL page differencing.
-
-One pass over the markup cuts a page into blocks (lines) and leaves out what
-its elements, classes or roles say is not the article.  Blocks inside an
-``article`` or ``main`` element are then certain to be the article's.  Pages
-without such an element are differenced: each is paired with the page of the
-same host whose URL path sorts next to it (the neighbour with the longer common
-path prefix first), their lines are aligned by longest common subsequence, and
-the shared lines, being the site's and not the page's, are deleted.  A pair of
-which more than ``COPY`` of the page's characters are shared is two copies of
-one article and tells nothing about the template; then the other neighbour
-decides, and if that is a copy too, all lines stay.
+"""Main text of web pages: nearest-URL page differencing, guided by structure.
+
+One pass over the markup cuts a page into blocks (lines).  What elements and
+roles say is not the article (menus, footers, forms, ...), adverts and reader
+comments go at once.  Other class names are only a guess: they make a block
+suspect.  Class names count as whole names, and never against an ``article`` or
+``main`` element itself.
+
+Every page is paired with the page of the same host whose URL path sorts next
+to it (the neighbour with the longer common path prefix first; copies of one page
+count as one), and their lines are aligned by longest common subsequence.
+Inside an ``article`` or ``main`` element a line goes if it is suspect and shared:
+structure and differencing must agree.  Pages without such an element
+lose their suspect lines, and the shared ones, which are the site's and not the
+page's.  A neighbour that shares more than ``COPY`` of the page's characters
+may be a version of the same article; then only what the other neighbour
+shares as well goes, and if that leaves next to nothing, all lines stay.
 
 Neighbours come from a range exchange of (host, path, row) keys alone, so a
 host with a third of all pages is spread over many tasks; the two rows at each
 partition's edge are matched afterwards.  Texts are never shuffled, but for
-pages that are differenced.
+those of pages that can lose a line.
 """
 
 from __future__ import annotations
@@ -34,6 +39,8 @@ from trailmark.plans.shared import stored
 
 #: Share of a page's characters above which a neighbour is its copy.
 COPY = 0.6
+#: Share of its characters that a page must keep where both neighbours may be its copies.
+LEAST = 0.05
 
 _RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title|audio|video"
 _TOKEN = re.compile(
@@ -50,38 +57,38 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _DROP = frozenset("nav footer aside form button menu dialog head".split())
 _MAIN = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tooltip".split())
-_COMMENTS = re.compile(r"(?<![a-z])(?:comments?|commentlist|respond|replies|disqus|discussion)(?![a-z])", re.I)
-_CLASS = re.compile(
-    r"(?<![a-z])(?:ads?|advert|adverts|advertisement|advertising|adsense|banner|promo|promos|promotion|sponsor|sponsored|cookies?|consent|gdpr|notice|notices|notification|alert|sidebar|side-bar|nav|navbar|navigation|menu|submenu|breadcrumbs?|footer|foot|site-?header|page-?header|masthead|topbar|social|share|sharing|related|recommended|newsletter|subscribe|subscription|signup|sign-up|popup|pop-up|modal|overlay|widget|pagination|pager|skip-?link|login|search|toolbar|copyright|disclaimer)(?![a-z])",
-    re.I,
+#: Whole class names or ids of reader comments and adverts, and those that make a block suspect.
+_NEVER = frozenset("comment comments comment-list commentlist comments-area comment-section respond replies disqus disqus_thread ad ads advert adverts advertisement advertising adsbygoogle ad-banner ad-container sponsored".split())
+_SUSPECT = frozenset(
+    "banner promo promos promotion sponsor cookie cookies cookie-notice cookie-banner consent gdpr notice notices notification alert sidebar side-bar nav navbar navigation menu submenu breadcrumb breadcrumbs footer site-footer page-footer site-header page-header masthead topbar top-bar social share sharing related related-posts recommended newsletter subscribe subscription signup sign-up popup pop-up modal overlay widget pagination pager skip-link login search toolbar copyright disclaimer".split()
 )
 
 
 def _verdict(tag: str, attrs: str, in_main: bool) -> str:
-    """'' to keep what the element holds, else why it goes."""
+    """'' to keep what the element holds, 'suspect', or else why it goes."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs.strip() else {}
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    if tag not in ("body", "html") and names != " ":
-        if _COMMENTS.search(names):
-            return "comments"
-        if tag not in _MAIN and _CLASS.search(names):
-            return "class"
     if tag in _DROP or tag == "header" and not in_main:
         return tag
     if found.get("role", "").lower() in _ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return "role"
     if "display:none" in found.get("style", "").replace(" ", "").lower():
         return "hidden"
-    return ""
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    if not names or tag in ("body", "html") or tag in _MAIN and not in_main:
+        return ""
+    if not _NEVER.isdisjoint(names):
+        return "comments" if any("comment" in x or x in ("respond", "replies") or x.startswith("disqus") for x in names) else "advert"
+    return "suspect" if tag in BLOCKS and tag not in _MAIN and not _SUSPECT.isdisjoint(names) else ""
 
 
 def _is_main(tag: str, attrs: str) -> bool:
     return tag in _MAIN or bool(attrs) and re.search(r"role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articlebody", attrs, re.I) is not None
 
 
-def blocks(page: str, everything: bool = False) -> list[tuple[str, bool]]:
-    """(text of the block, is it inside a main element), in page order; ``everything`` keeps all visible text."""
-    out: list[tuple[str, bool]] = []
+def blocks(page: str, everything: bool = False) -> list[tuple[str, bool, bool]]:
+    """(text of the block, is it inside a main element, is it suspect), in page order; ``everything`` keeps all visible text."""
+    out: list[tuple[str, bool, bool]] = []
+    doubts: list[list] = []  # open suspect elements: [tag, elements of that tag open inside, main elements around it]
     pieces: list[str] = []
     drop, why, depth = "", "", 0  # the element being left out, and how many of its kind are open
     mains: list[list] = []  # open main elements: [tag, elements of that tag open inside]
@@ -92,7 +99,7 @@ def blocks(page: str, everything: bool = False) -> list[tuple[str, bool]]:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                out.append((text, bool(mains)))
+                out.append((text, bool(mains), any(x[2] == len(mains) for x in doubts)))
 
     for m in _TOKEN.finditer(page):
         if m.start() > at and not drop:
@@ -117,12 +124,17 @@ def blocks(page: str, everything: bool = False) -> list[tuple[str, bool]]:
                 mains[-1][1] -= 1
                 if not mains[-1][1]:
                     mains.pop()
+                    doubts = [x for x in doubts if x[2] <= len(mains)]  # what isn't closed ends with it
+            if doubts and tag == doubts[-1][0]:
+                doubts[-1][1] -= 1
+                if not doubts[-1][1]:
+                    doubts.pop()
             continue
         attrs = m["attrs"] or ""
         if drop:
             if drop in ("p", "li") and tag in BLOCKS and (drop == "p" or tag == "li" and depth == 1):
                 drop = ""  # these may lack an end tag
-            elif tag in _MAIN and why != "comments" and not _verdict(tag, attrs, False):
+            elif tag in _MAIN and why != "comments" and _verdict(tag, attrs, False) in ("", "suspect"):
                 drop = ""
             else:
                 depth += tag == drop and not attrs.endswith("/")
@@ -138,7 +150,13 @@ def blocks(page: str, everything: bool = False) -> list[tuple[str, bool]]:
                 drop, why, depth = tag, tag, 1
             continue
         reason = _verdict(tag, attrs, bool(mains))
-        if reason:
+        if doubts and tag == doubts[-1][0]:
+            doubts[-1][1] += 1
+        elif reason == "suspect":
+            doubts.append([tag, 1, len(mains)])
+        if reason and reason != "suspect":
+            if doubts and tag == doubts[-1][0]:
+                doubts[-1][1] -= 1  # its end tag won't be seen
             if tag not in BLOCKS:
                 pieces.append(" ")
             drop, why, depth = tag, reason, 1
@@ -154,7 +172,7 @@ def blocks(page: str, everything: bool = False) -> list[tuple[str, bool]]:
 
 def visible_text(page: str) -> str:
     """All text outside head, scripts and styles, blocks parted by line feeds."""
-    return "\n".join(t for t, _ in blocks(page, everything=True))
+    return "\n".join(t for t, *_ in blocks(page, everything=True))
 
 
 def shared_lines(a: list, b: list) -> list[int]:
@@ -191,14 +209,20 @@ def shared_lines(a: list, b: list) -> list[int]:
     return [*range(head), *reversed(middle), *range(len(a) - tail, len(a))]
 
 
-def difference(lines: list[str], marks: list[int], mates: list[list[int]]) -> list[str]:
-    """``lines`` without those that are shared with the first of ``mates`` that is not a copy of the page."""
-    total = sum(map(len, lines))
-    for mate in mates:
-        gone = set(shared_lines(marks, mate))
-        if sum(len(lines[i]) for i in gone) <= COPY * total:
-            return [x for i, x in enumerate(lines) if i not in gone]
-    return lines
+def differenced(lines: list[str], places: list[int], doubted: list[bool], sure: bool, marks: list[int], sizes: list[int], mates: list[list[int]]) -> list[str]:
+    """The lines that stay.  ``marks`` and ``sizes`` are those of all blocks of the page, ``places`` the blocks of ``lines``."""
+    gone: set[int] = set()
+    if mates:
+        gone, total = set(shared_lines(marks, mates[0])), sum(sizes)
+        if sum(sizes[i] for i in gone) > COPY * total:
+            gone = gone.intersection(shared_lines(marks, mates[1])) if len(mates) > 1 else set()
+            if total - sum(sizes[i] for i in gone) < LEAST * total:
+                gone = set()
+    if sure:
+        left = [x for x, i, d in zip(lines, places, doubted) if not (d and i in gone)]
+    else:
+        left = [x for x, i, d in zip(lines, places, doubted) if not d and i not in gone] or [x for x, i in zip(lines, places) if i not in gone]
+    return left or lines
 
 
 def _path_key(url: str | None) -> tuple[str, str]:
@@ -207,21 +231,28 @@ def _path_key(url: str | None) -> tuple[str, str]:
 
 
 def _parse(pages: DataFrame) -> DataFrame:
-    rows = pages.select("page_id", "url", F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
+    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hosts, paths, sure, lines, marks = [], [], [], [], []
+        made = []
         for url, page in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
-            host, path = _path_key(url)
             found = blocks(page)
-            certain = any(inside for _, inside in found)
-            hosts.append(host), paths.append(path), sure.append(certain)
-            lines.append([t for t, inside in found if inside or not certain])
-            marks.append([xxhash.xxh3_64_intdigest(t.encode()) - (1 << 63) for t, _ in found])
-        made = [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(sure, pa.bool_()), pa.array(lines, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=["page_id", "url", "row", "host", "path", "sure", "lines", "marks"])
+            certain = any(inside for _, inside, _ in found)
+            mine = [i for i, (_, inside, _) in enumerate(found) if inside or not certain]
+            marks = [xxhash.xxh3_64_intdigest(t.encode()) - (1 << 63) for t, *_ in found]
+            doubted = [found[i][2] for i in mine]
+            digest = xxhash.xxh3_64_intdigest(repr(marks)) - (1 << 63)
+            made.append((*_path_key(url), certain, [found[i][0] for i in mine], mine, doubted, not certain or any(doubted), marks, [len(t) for t, *_ in found], digest))
+        kinds = [pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, k) for c, k in zip(zip(*made), kinds))], names=["page_id", "url", "row", *_PARSED])
 
-    return map_arrow(rows, run, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, row long, host string, path string, sure boolean, lines array<string>, marks array<long>")
+    kind = ", ".join(f"{n} {t}" for n, t in _PARSED.items())
+    return map_arrow(rows, run, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, row long, {kind}")
+
+
+_PARSED = dict(
+    host="string", path="string", sure="boolean", lines="array<string>", places="array<int>", doubted="array<boolean>", open="boolean", marks="array<long>", sizes="array<int>", digest="long"
+)
 
 
 def _closeness(a: str, b: str) -> int:
@@ -272,27 +303,30 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row per row of ``pages``.
 
     Null and empty html give an empty text, as do pages of nothing but
-    boilerplate.  A null URL counts as empty; repeated rows and pages are
-    copies of one another and keep their lines.  Extra columns are ignored, an
-    empty table gives an empty result.
+    boilerplate; very long pages are read whole.  A null URL counts as empty.
+    Repeated rows and pages are one page in the pairing, and each gets a row;
+    of pages equally near the one with the smaller path, then row, counts as
+    nearer.  Extra columns are ignored, whatever they are called; an empty
+    table gives an empty result.
     """
     parsed = stored(_parse(pages), "pages")
     text = F.array_join("lines", "\n\n")
-    sure = parsed.where("sure").select("page_id", "url", text.alias("text"))
-    open_ = parsed.where("NOT sure")
+    plain = parsed.where("NOT open").select("page_id", "url", text.alias("text"))
+    open_ = parsed.where("open")
     if open_.isEmpty():
-        return sure.withColumn("n_chars", F.char_length("text").cast("long"))
-    pairs = _neighbours(parsed.select("host", "path", "row")).join(open_.select("row"), "row", "left_semi")
-    mates = (
-        pairs.join(parsed.select(F.col("row").alias("mate"), F.col("marks").alias("mate_marks")), "mate")
-        .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("far", "mate", "mate_marks"))).alias("mates"))  # two at most
-    )
-    rows = open_.join(mates, "row", "left").select("page_id", "url", "lines", "marks", F.coalesce(F.transform("mates", lambda x: x["mate_marks"]), F.array().cast("array<array<bigint>>")).alias("mates"))
+        return plain.withColumn("n_chars", F.char_length("text").cast("long"))
+    distinct = parsed.groupBy("host", "digest").agg(F.min(F.struct("path", "row")).alias("x")).select("host", "digest", "x.path", "x.row")
+    pairs = _neighbours(distinct.select("host", "path", "row"))
+    marks = parsed.select(F.col("row").alias("mate"), F.col("marks").alias("mate_marks"))
+    mates = pairs.join(marks, "mate").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("far", "mate", "mate_marks"))).alias("mates"))  # two at most
+    # copies have the mates of the one that stands for them; a hot group of copies is split by adaptive execution
+    own = mates.join(distinct.select("row", "host", "digest"), "row").select("host", "digest", F.transform("mates", lambda x: x["mate_marks"]).alias("mates"))
+    given = ["lines", "places", "doubted", "sure", "marks", "sizes"]
+    rows = open_.join(own, ["host", "digest"], "left").select("page_id", "url", *given, F.coalesce("mates", F.array().cast("array<array<bigint>>")).alias("mates"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = ["\n\n".join(difference(*x)) for x in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+        texts = ["\n\n".join(differenced(*x)) for x in zip(*(c.to_pylist() for c in batch.columns[2:]))]
         return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string"
-    return sure.unionAll(map_arrow(rows, run, kind)).withColumn("n_chars", F.char_length("text").cast("long"))
+    return plain.unionAll(map_arrow(rows, run, kind)).withColumn("n_chars", F.char_length("text").cast("long"))
