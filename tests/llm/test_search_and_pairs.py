@@ -84,6 +84,50 @@ def test_one_of_each_keeps_one_copy_and_all_columns(spark):
     assert simhash.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_crowded_buckets_lose_no_link(spark):
+    rng = random.Random(23)
+    centre = rng.getrandbits(64)
+    fps = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 7))) for _ in range(700)} | {rng.getrandbits(64) for _ in range(50)}
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    for rows in (3, 40, 4096):  # buckets dealt anew, in chunks, and whole
+        label = {x: x for x in fps}
+
+        def top(x):
+            while label[x] != x:
+                x = label[x]
+            return x
+
+        links = [(r["src"] % 2**64, r["dst"] % 2**64) for r in simhash.near_links(df, 4, rows).collect()]
+        assert all((a ^ b).bit_count() <= 4 for a, b in links)
+        for a, b in links:
+            label[top(a)] = top(b)
+        assert all(top(a) == top(b) for a in fps for b in fps if (a ^ b).bit_count() <= 4)
+
+
+def test_one_of_each_in_crowded_buckets(spark):
+    rng = random.Random(29)
+    base, texts = [str(rng.randrange(10**6)) for _ in range(150)], []
+    for _ in range(60):
+        words = list(base)
+        for i in rng.sample(range(150), rng.randint(1, 12)):
+            words[i] = str(rng.randrange(10**6))
+        texts.append(" ".join(words))
+    sets = [shingles(t) for t in texts]
+    label = list(range(60))
+    for _ in label:
+        for i in label:
+            for j in range(60):
+                if alike(sets[i], sets[j]) >= 0.8:
+                    label[i] = label[j] = min(label[i], label[j])
+    assert 1 < len(set(label)) < 60
+    docs = spark.createDataFrame(rows_of(enumerate(texts)), DOCS)
+    for rows in (2, 7, 1024):
+        kept = simhash.one_of_each(docs.repartition(3), bucket_rows=rows).collect()  # out of a shuffle: rows are numbered once
+        groups = [label[r["doc_id"]] for r in kept]
+        assert sorted(set(groups)) == sorted(set(label)) and len(groups) == len(set(label))
+
+
 def shingles(text, width=5):
     words = text.lower().split()
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()

@@ -12,11 +12,14 @@ Equal fingerprints are one node from the start.  A bucket's nodes are not
 paired off: a breadth-first search over packed words emits a spanning forest,
 at most one link per node.  A bucket of more than ``bucket_rows`` nodes is cut
 into chunks, and each pair of chunks is a bucket of its own, so every pair of
-nodes still meets and no task holds more than two chunks.
+nodes still meets and no task holds more than two chunks.  Where that would make
+more rows than there are masks, the bucket is first dealt anew by the masks of the
+positions that its own mask leaves open, which again miss no pair.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -139,15 +142,24 @@ def _search(radius: int):
 
 def near_links(fps: DataFrame, radius: int = 4, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Links (src, dst) that connect all of the distinct long ``fp`` that lie within ``radius``."""
-    keys: list[Column] = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(covering_masks(radius))]
-    buckets = fps.select("fp", F.explode(F.array(*keys)).alias("bucket"))
-    crowded = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select("bucket", F.ceil(F.col("n") / bucket_rows).cast("int").alias("chunks"))
+    masks = covering_masks(radius)
+    named = lambda t, mask: F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(mask))))
+    keys: list[Column] = [F.struct(F.lit(t).alias("t"), named(t, m).alias("bucket")) for t, m in enumerate(masks)]
+    buckets = fps.select("fp", F.explode(F.array(*keys)).alias("x")).select("fp", "x.t", "x.bucket")
+    crowd = lambda df: df.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select("bucket", F.ceil(F.col("n") / bucket_rows).cast("int").alias("chunks"))
+    # rows of a bucket that is cut into chunks are copied once a chunk, else once a mask
+    level = buckets.join(crowd(buckets), "bucket", "left")
+    deep = [F.array(*(F.lit(_signed(m | w)) for w in masks)) for m in masks]
+    inner = F.transform(F.element_at(F.array(*deep), F.col("t") + 1), lambda w: F.xxhash64("bucket", w, F.col("fp").bitwiseAND(w)))
+    dense = F.coalesce(F.col("chunks"), F.lit(0)) > len(masks)
+    anew = level.where(dense).select("fp", F.explode(inner).alias("bucket"))
     mine = F.pmod(F.xxhash64("fp", F.lit(SEED)), F.col("chunks")).cast("int")
     others = F.sequence(F.lit(0), F.col("chunks") - 1)
     spread = F.when(F.col("chunks").isNull(), F.array("bucket")).otherwise(
         F.transform(others, lambda j: F.xxhash64("bucket", F.least(F.col("mine"), j), F.greatest(F.col("mine"), j)))
     )
-    cells = buckets.join(crowded, "bucket", "left").withColumn("mine", mine).select("fp", F.explode(spread).alias("bucket"))
+    dealt = level.where(~dense).select("fp", "bucket", "chunks").unionAll(anew.join(crowd(anew), "bucket", "left").select("fp", "bucket", "chunks"))
+    cells = dealt.withColumn("mine", mine).select("fp", F.explode(spread).alias("bucket"))
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return arrow_batches(cells.select("bucket", "fp").repartition(n, "bucket").sortWithinPartitions("bucket"), _search(radius), "src long, dst long")
 
@@ -262,20 +274,75 @@ def _copy_links(width: int, similarity: float):
     return run
 
 
-def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, bucket_rows: int = COPY_ROWS) -> DataFrame:
-    """``docs`` without all but one document of each group of near copies.
+def _alike(width: int, similarity: float):
+    """Over rows (node, hub, text, hub_text): those whose sets are ``similarity`` alike, as links."""
 
-    The first row of a group stays.  Texts without words are copies of one
-    another, as are equal texts; a null text counts as empty.  Columns are
-    handed on as they are, whatever else they are called; an empty table stays
-    empty.
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known: dict[bytes, np.ndarray] = {}
+        src, dst = [], []
+        for node, hub, text, other in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), raw(batch.column(2)), raw(batch.column(3))):
+            a, b = (known[other] if other in known else known.setdefault(other, np.unique(shingle_hashes(other, width)))), np.unique(shingle_hashes(text, width))
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            if both >= similarity * (len(a) + len(b) - both):
+                src.append(hub), dst.append(node)
+        return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
+
+    return run
+
+
+def _just_read(docs: DataFrame) -> bool:
+    """Do rows of ``docs`` come in the same order whenever they are read: nothing but files, filters and projections?"""
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    return all(re.match(r"[\s:+-]*(Project|Filter|Relation)\b", line) for line in plan.strip().splitlines())
+
+
+def _numbered(docs: DataFrame, own: str) -> DataFrame:
+    rows = docs.withColumn(own, F.monotonically_increasing_id())
+    return rows if _just_read(docs) else stored(rows, "numbered")
+
+
+def copy_links(rows: DataFrame, nodes: DataFrame, width: int, similarity: float, bucket_rows: int) -> DataFrame:
+    """Links (src, dst) that connect all alike of ``nodes`` (node, bytes, keys) that share a key; ``rows`` has (node, _text).
+
+    A bucket of one chunk is searched by one task.  In a larger one every node is
+    first compared with the bucket's least, its hub.  Those alike are connected, so
+    only the others must meet all: they are cut into chunks that meet one another,
+    and each chunk of the nodes alike to the hub.
     """
-    spark = docs.sparkSession
-    own = "_row"
-    while own in docs.columns:
-        own += "_"
-    numbered = docs.withColumn(own, F.monotonically_increasing_id())
-    rows = numbered.select(own, F.col("text").alias("_text"))
+    keyed = nodes.select("node", "bytes", F.explode("keys").alias("key"))
+    # most keys have one node, which nothing can be linked to by it; of keys that have the same nodes one is enough
+    met = keyed.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("node").alias("hub"), F.bit_xor(F.xxhash64("node")).alias("x0"), F.bit_xor(F.xxhash64(F.lit(SEED), "node")).alias("x1")
+    ).where("n > 1")
+    n_chunks = lambda n, size: F.greatest(F.ceil(F.col(n) / bucket_rows), F.least(n, F.ceil(F.col(size) / COPY_BYTES))).cast("int")
+    met = stored(met.groupBy("n", "x0", "x1").agg(F.min("key").alias("key"), F.max("bytes").alias("bytes"), F.min("hub").alias("hub")).select("key", "hub", n_chunks("n", "bytes").alias("chunks")), "keys")
+    cells = keyed.join(met.where("chunks = 1").select("key"), "key").select("node", F.col("key").alias("cell"))
+    linked = None
+    if not met.where("chunks > 1").isEmpty():
+        large = keyed.join(met.where("chunks > 1").select("key", "hub"), "key").where("node <> hub")
+        pairs = large.select("node", "hub").distinct()
+        hubs = rows.select(F.col("node").alias("hub"), F.col("_text").alias("hub_text"))
+        linked = stored(map_arrow(pairs.join(hubs, "hub").join(rows, "node").select("node", "hub", "_text", "hub_text"), _alike(width, similarity), "src long, dst long"), "hubs")
+        told = large.join(linked.select(F.col("src").alias("hub"), F.col("dst").alias("node"), F.lit(True).alias("near")), ["node", "hub"], "left").select("key", "node", "bytes", F.coalesce("near", F.lit(False)).alias("near"))
+        of = lambda x: F.when(F.col("near") == x, F.col("bytes"))
+        sizes = told.groupBy("key").agg(F.count(of(False)).alias("u"), F.sum(of(False)).alias("ub"), F.count(of(True)).alias("l"), F.sum(of(True)).alias("lb")).where("u > 0")
+        sizes = sizes.select("key", n_chunks("u", "ub").alias("us"), F.coalesce(n_chunks("l", "lb"), F.lit(0)).alias("ls"))
+        mine = F.pmod(F.xxhash64("node"), F.when(F.col("near"), F.col("ls")).otherwise(F.col("us"))).cast("int")
+        to = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+        own = F.transform(to("us"), lambda j: F.xxhash64("key", F.lit("u"), F.least(F.col("mine"), j), F.greatest(F.col("mine"), j)))
+        out = F.transform(to("ls"), lambda j: F.xxhash64("key", F.lit("l"), F.col("mine"), j))
+        back = F.transform(to("us"), lambda i: F.xxhash64("key", F.lit("l"), i, F.col("mine")))
+        spread = F.when(F.col("near"), back).otherwise(F.concat(own, out))
+        cells = cells.unionAll(told.join(sizes, "key").withColumn("mine", mine).select("node", F.explode(spread).alias("cell")))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = cells.join(rows, "node").select("cell", "node", "_text").repartition(n, "cell").sortWithinPartitions("cell")
+    found = arrow_batches(buckets, _copy_links(width, similarity), "src long, dst long")
+    return found if linked is None else found.unionAll(linked)
+
+
+def copy_groups(docs: DataFrame, own: str, width: int = 5, similarity: float = 0.8, bucket_rows: int = COPY_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Of ``docs`` with row numbers ``own``: (``own``, node), equal sets being one node; and (node, component) of the nodes with links."""
+    rows = docs.select(own, F.col("text").alias("_text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = raw(batch.column(1))
@@ -284,23 +351,25 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, bucket
         keys = pa.ListArray.from_arrays(pa.array(range(0, BANDS * len(made) + 1, BANDS), pa.int32()), u([k for m in made for k in m[2]]))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in texts], pa.int64()), u([m[0] for m in made]), u([m[1] for m in made]), keys], names=["row", "bytes", "d0", "d1", "keys"])
 
-    told = map_arrow(rows, run, "row long, bytes long, d0 long, d1 long, keys array<long>")
-    nodes = stored(told.groupBy("d0", "d1").agg(F.min("row").alias("node"), F.max("bytes").alias("bytes"), F.min("keys").alias("keys")), "nodes")  # equal sets are one node
-    keyed = nodes.select("node", "bytes", F.explode("keys").alias("key"))
-    # most keys have one node, which nothing can be linked to by it; of keys that have the same nodes one is enough
-    met = keyed.groupBy("key").agg(
-        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("x0"), F.bit_xor(F.xxhash64(F.lit(SEED), "node")).alias("x1")
-    ).where("n > 1")
-    chunks = F.greatest(F.ceil(F.col("n") / bucket_rows), F.least("n", F.ceil(F.col("bytes") / COPY_BYTES))).cast("int")
-    met = met.groupBy("n", "x0", "x1").agg(F.min("key").alias("key"), F.max("bytes").alias("bytes")).select("key", chunks.alias("chunks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    cells = F.when(F.col("chunks") == 1, F.array("key")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.xxhash64("key", F.least(F.col("mine"), j), F.greatest(F.col("mine"), j)))
-    )
-    split = keyed.select("node", "key").join(met, "key").withColumn("mine", mine).select("node", F.explode(cells).alias("cell"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = split.join(rows.withColumnRenamed(own, "node"), "node").select("cell", "node", "_text").repartition(n, "cell").sortWithinPartitions("cell")
-    groups = connected_components(buckets.mapInArrow(_copy_links(width, similarity), "src long, dst long"))
+    told = stored(map_arrow(rows, run, "row long, bytes long, d0 long, d1 long, keys array<long>"), "told")
+    nodes = stored(told.groupBy("d0", "d1").agg(F.min("row").alias("node"), F.max("bytes").alias("bytes"), F.min("keys").alias("keys")), "nodes")
+    groups = connected_components(copy_links(rows.withColumnRenamed(own, "node"), nodes, width, similarity, bucket_rows))
+    return told.join(nodes.select("d0", "d1", "node"), ["d0", "d1"]).select(F.col("row").alias(own), "node"), groups
+
+
+def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, bucket_rows: int = COPY_ROWS) -> DataFrame:
+    """``docs`` without all but one document of each group of near copies.
+
+    The first row of a group stays.  Texts without words are copies of one
+    another, as are equal texts; a null text counts as empty, a very long one is
+    read whole.  Columns are handed on as they are, whatever else they are
+    called; an empty table stays empty.
+    """
+    own = "_row"
+    while own in docs.columns:
+        own += "_"
+    numbered = _numbered(docs, own)
+    members, groups = copy_groups(numbered, own, width, similarity, bucket_rows)
     later = groups.where("node <> component").select("node")
-    first = nodes.join(later, "node", "left_anti").select(F.col("node").alias(own))
+    first = members.where(F.col(own) == F.col("node")).join(later, "node", "left_anti").select(own)
     return numbered.join(first, own, "left_semi").select(*docs.columns)
