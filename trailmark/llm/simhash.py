@@ -315,11 +315,12 @@ def copy_links(rows: DataFrame, nodes: DataFrame, width: int, similarity: float,
         F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("node").alias("hub"), F.bit_xor(F.xxhash64("node")).alias("x0"), F.bit_xor(F.xxhash64(F.lit(SEED), "node")).alias("x1")
     ).where("n > 1")
     n_chunks = lambda n, size: F.greatest(F.ceil(F.col(n) / bucket_rows), F.least(n, F.ceil(F.col(size) / COPY_BYTES))).cast("int")
-    met = stored(met.groupBy("n", "x0", "x1").agg(F.min("key").alias("key"), F.max("bytes").alias("bytes"), F.min("hub").alias("hub")).select("key", "hub", n_chunks("n", "bytes").alias("chunks")), "keys")
-    cells = keyed.join(met.where("chunks = 1").select("key"), "key").select("node", F.col("key").alias("cell"))
+    met = met.groupBy("n", "x0", "x1").agg(F.min("key").alias("key"), F.max("bytes").alias("bytes"), F.min("hub").alias("hub")).select("key", "hub", n_chunks("n", "bytes").alias("chunks"))
+    met = stored(keyed.join(met, "key"), "buckets")  # a row for each node and bucket that may link it
+    cells = met.where("chunks = 1").select("node", F.col("key").alias("cell"))
     linked = None
     if not met.where("chunks > 1").isEmpty():
-        large = keyed.join(met.where("chunks > 1").select("key", "hub"), "key").where("node <> hub")
+        large = met.where("chunks > 1 AND node <> hub").select("node", "bytes", "key", "hub")
         pairs = large.select("node", "hub").distinct()
         hubs = rows.select(F.col("node").alias("hub"), F.col("_text").alias("hub_text"))
         linked = stored(map_arrow(pairs.join(hubs, "hub").join(rows, "node").select("node", "hub", "_text", "hub_text"), _alike(width, similarity), "src long, dst long"), "hubs")
