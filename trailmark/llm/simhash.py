@@ -317,6 +317,7 @@ def copy_links(rows: DataFrame, nodes: DataFrame, width: int, similarity: float,
     n_chunks = lambda n, size: F.greatest(F.ceil(F.col(n) / bucket_rows), F.least(n, F.ceil(F.col(size) / COPY_BYTES))).cast("int")
     met = met.groupBy("n", "x0", "x1").agg(F.min("key").alias("key"), F.max("bytes").alias("bytes"), F.min("hub").alias("hub")).select("key", "hub", n_chunks("n", "bytes").alias("chunks"))
     met = stored(keyed.join(met, "key"), "buckets")  # a row for each node and bucket that may link it
+    rows = stored(rows.join(met.select("node").distinct(), "node", "left_semi"), "texts")  # the only shuffle of all texts
     cells = met.where("chunks = 1").select("node", F.col("key").alias("cell"))
     linked = None
     if not met.where("chunks > 1").isEmpty():
