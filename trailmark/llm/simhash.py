@@ -304,10 +304,10 @@ def _numbered(docs: DataFrame, own: str) -> DataFrame:
 def copy_links(rows: DataFrame, nodes: DataFrame, width: int, similarity: float, bucket_rows: int) -> DataFrame:
     """Links (src, dst) that connect all alike of ``nodes`` (node, bytes, keys) that share a key; ``rows`` has (node, _text).
 
-    A bucket of one chunk is searched by one task.  In a larger one every node is
-    first compared with the bucket's least, its hub.  Those alike are connected, so
-    only the others must meet all: they are cut into chunks that meet one another,
-    and each chunk of the nodes alike to the hub.
+    A bucket of one chunk is searched by one task.  Of larger ones each has a hub, its
+    least node, and every node is first compared with the least of its hubs.  Those
+    alike are connected, so only the others must meet all: they are cut into chunks
+    that meet one another, and each chunk of the nodes connected with the bucket's hub.
     """
     keyed = nodes.select("node", "bytes", F.explode("keys").alias("key"))
     # most keys have one node, which nothing can be linked to by it; of keys that have the same nodes one is enough
@@ -317,15 +317,19 @@ def copy_links(rows: DataFrame, nodes: DataFrame, width: int, similarity: float,
     n_chunks = lambda n, size: F.greatest(F.ceil(F.col(n) / bucket_rows), F.least(n, F.ceil(F.col(size) / COPY_BYTES))).cast("int")
     met = met.groupBy("n", "x0", "x1").agg(F.min("key").alias("key"), F.max("bytes").alias("bytes"), F.min("hub").alias("hub")).select("key", "hub", n_chunks("n", "bytes").alias("chunks"))
     met = stored(keyed.join(met, "key"), "buckets")  # a row for each node and bucket that may link it
-    rows = stored(rows.join(met.select("node").distinct(), "node", "left_semi"), "texts")  # the only shuffle of all texts
+    wanted = met.groupBy("node").agg((F.max("chunks") > 1).alias("crowd"))
+    rows = stored(rows.join(wanted, "node"), "texts")  # the only shuffle of all texts
     cells = met.where("chunks = 1").select("node", F.col("key").alias("cell"))
     linked = None
     if not met.where("chunks > 1").isEmpty():
-        large = met.where("chunks > 1 AND node <> hub").select("node", "bytes", "key", "hub")
-        pairs = large.select("node", "hub").distinct()
-        hubs = rows.select(F.col("node").alias("hub"), F.col("_text").alias("hub_text"))
-        linked = stored(map_arrow(pairs.join(hubs, "hub").join(rows, "node").select("node", "hub", "_text", "hub_text"), _alike(width, similarity), "src long, dst long"), "hubs")
-        told = large.join(linked.select(F.col("src").alias("hub"), F.col("dst").alias("node"), F.lit(True).alias("near")), ["node", "hub"], "left").select("key", "node", "bytes", F.coalesce("near", F.lit(False)).alias("near"))
+        large = met.where("chunks > 1").select("node", "bytes", "key", "hub")
+        pairs = large.groupBy("node").agg(F.min("hub").alias("hub")).where("node <> hub")  # one for each node, however many buckets it is in
+        hubs = rows.where("crowd").select(F.col("node").alias("hub"), F.col("_text").alias("hub_text"))
+        linked = stored(map_arrow(pairs.join(hubs, "hub").join(rows.where("crowd"), "node").select("node", "hub", "_text", "hub_text"), _alike(width, similarity), "src long, dst long"), "hubs")
+        # a node is known to be connected with its bucket's hub if both were linked to one and the same, or are it
+        label = linked.select(F.col("dst").alias("node"), F.col("src").alias("at"))
+        both = large.where("node <> hub").join(label, "node", "left").join(label.select(F.col("node").alias("hub"), F.col("at").alias("hub_at")), "hub", "left")
+        told = both.select("key", "node", "bytes", (F.coalesce("at", "node") == F.coalesce("hub_at", "hub")).alias("near"))
         of = lambda x: F.when(F.col("near") == x, F.col("bytes"))
         sizes = told.groupBy("key").agg(F.count(of(False)).alias("u"), F.sum(of(False)).alias("ub"), F.count(of(True)).alias("l"), F.sum(of(True)).alias("lb")).where("u > 0")
         sizes = sizes.select("key", n_chunks("u", "ub").alias("us"), F.coalesce(n_chunks("l", "lb"), F.lit(0)).alias("ls"))
