@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from trailmark.llm import decontam, simhash, topk
 
@@ -21,14 +22,25 @@ def test_top_k_matches_brute_force(spark):
     vectors = [(i, [int(x) for x in rng.integers(-50, 50, 6) * (rng.random(6) < 0.6)]) for i in range(700)]
     vectors += [(700, [0] * 6), (701, vectors[5][1]), (702, vectors[5][1]), (703, None), (704, [1, None, 2, 3, 4, 5]), (705, [])]
     df = spark.createDataFrame(vectors, "vec_id long, weights array<long>")
-    got = topk.top_k(df, df.where("vec_id % 50 = 0"), 10, shard_rows=200, query_rows=7).collect()
+    got = topk.top_k(df.withColumn("asked", F.lit("clash")), df.where("vec_id % 50 = 0"), 10, shard_cells=1200).collect()
     usable = {i: np.array(v) for i, v in vectors if v and None not in v}
     want = []
     for q in (i for i in usable if i % 50 == 0):
         best = sorted((-int(usable[q] @ v), i) for i, v in usable.items() if i != q)[:10]
         want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     assert sorted(tuple(r) for r in got) == sorted(want)
-    assert topk.top_k(df.where("vec_id < 0"), df).count() == 0
+    assert topk.top_k(df.where("vec_id < 0"), df).count() == topk.top_k(df, df.where("vec_id < 0")).count() == 0
+
+
+def test_top_k_of_huge_numbers_repeated_queries_and_no_numbers(spark):
+    big = 2.0**70
+    rows = [(0, [big, 1.0]), (1, [big, 3.0]), (2, [big, 2.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [-big]), (100, [1.0, 1.0]), (100, [1.0, -1.0]), (100, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, weights array<double>")
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id = 100"), 3, shard_cells=4).orderBy("query_id", "vec_id", "rank").collect()]
+    # both vectors of query 100 have ranks of their own; scores beyond 64 bits are clamped
+    assert len(got) == 6 and sorted(r[1] for r in got) == [1, 1, 2, 2, 3, 3] and {r[3] for r in got} == {2**63 - 1}
+    one = [tuple(r) for r in topk.top_k(df, df.where("vec_id = 100").limit(1), 4).collect()]
+    assert [r[2] for r in sorted(one, key=lambda r: r[1])][-1] == 5 and one[-1][3] == -(2**63)
 
 
 def slow_fingerprint(text, width=4):

@@ -10,9 +10,9 @@ from trailmark.llm.common import table
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = F.transform("embedding", lambda x: F.lit(1024.0) * x.cast("double"))
-    # non-finite components, and what no 64-bit integer holds, leave a null: such vectors take no part
-    whole = F.transform(scaled, lambda y: F.when(F.abs(y) < 2.0**63, F.floor(F.when(F.abs(y) < 2.0**63, y))))
+    # a double holds the floor of any double; null and non-finite components keep their vectors out
+    scaled = F.transform("embedding", lambda x: F.expr("1024D") * x.cast("double"))
+    whole = F.transform(scaled, lambda y: F.when(F.abs(y) < 2.0**52, F.floor(F.when(F.abs(y) < 2.0**52, y)).cast("double")).otherwise(y))
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("weights"))
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
 

@@ -378,4 +378,4 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, bucket
     members, groups = copy_groups(numbered, own, width, similarity, bucket_rows)
     later = groups.where("node <> component").select("node")
     first = members.where(F.col(own) == F.col("node")).join(later, "node", "left_anti").select(own)
-    return numbered.join(first, own, "left_semi").select(*docs.columns)
+    return numbered.join(first.hint("merge"), own, "left_semi").select(*docs.columns)  # ids of all documents never go through the driver

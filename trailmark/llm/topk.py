@@ -10,8 +10,9 @@ the other for the rows that can still reach the threshold.  A row is dropped
 only if it is certain to score less than k rows already found, so ties survive
 and the result is exact.
 
-Candidates are dealt by row number into shards, queries into blocks; each pair
-of shard and query block is one task of fixed size, and the shards' best k are
+Candidates are dealt by row number into shards of bounded size, each row once.
+Only queries are copied, one copy a shard: a task holds one shard, builds its
+postings, and the queries stream past it in batches.  The shards' best k are
 merged with a window whose group limit runs before its exchange.
 """
 
@@ -20,16 +21,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-SHARD_ROWS, QUERY_ROWS = 8192, 2048
+from trailmark.llm.common import arrow_batches
+
+#: Numbers of one shard; its rows are as many as that allows.
+SHARD_CELLS = 4 << 20
 #: The first rows of a shard are scored in full and give the first threshold.
 SEED_ROWS = 256
 
-_HITS = "query_id long, vec_id long, score long"
+_HITS = "query_id long, asked long, vec_id long, score long"
 
 
 class Block:
@@ -79,59 +83,84 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.array([np.asarray(v, np.int64) for v in vectors], dtype=np.int64)
+def _exact(vectors: np.ndarray) -> np.ndarray:
+    """Whole numbers as Python's own, which have no bounds."""
+    return np.array([[int(x) for x in v] for v in vectors], dtype=object).reshape(vectors.shape)
+
+
+class Shard:
+    """Some candidates, ready for queries."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors, self.reach, self.blocks = ids, vectors, float(np.abs(vectors).max(initial=0)), {}
 
+    def _blocks(self, kind: type) -> list[Block]:
+        if kind not in self.blocks:
+            v = self.vectors.astype(np.float64) if kind is np.float64 else _exact(self.vectors)
+            self.blocks[kind] = [Block(self.ids[a:b], v[a:b]) for a, b in ((0, SEED_ROWS), (SEED_ROWS, len(v))) if a < min(b, len(v))]
+        return self.blocks[kind]
 
-def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
-    """Each query's best k of one shard as (query_id, vec_id, score)."""
-    reach = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * vectors.shape[1]
-    kind = np.float64 if reach < 2**53 else object  # sums are exact in doubles up to there, else Python's numbers are used
-    vectors, queries = vectors.astype(kind), queries.astype(kind)
-    blocks = [Block(ids[a:b], vectors[a:b]) for a, b in ((0, SEED_ROWS), (SEED_ROWS, len(ids))) if a < min(b, len(ids))]
-    for q, query in zip(query_ids.tolist(), queries):
+    def best(self, query_id: int, query: np.ndarray, k: int) -> Iterator[tuple[int, int]]:
+        """(vec_id, score) of the best k candidates but those of the query's own id."""
+        reach = self.reach * float(np.abs(query).max(initial=0)) * len(query)
+        kind = np.float64 if reach < 2**53 else object  # sums are exact in doubles up to there
+        query = query.astype(np.float64) if kind is np.float64 else _exact(query[None])[0]
         best_ids, best = np.empty(0, np.int64), np.empty(0, kind)
-        for block in blocks:
+        for block in self._blocks(kind):
             rows, score = block.search(query, float(best[-1]) if len(best) == k and kind is np.float64 else -np.inf)
             found = block.ids[rows]
-            others = found != q
+            others = found != query_id
             best_ids, best = _best(np.concatenate([best_ids, found[others]]), np.concatenate([best, score[others]]), k)
-        yield from ((q, int(v), min(max(int(s), -(2**63)), 2**63 - 1)) for v, s in zip(best_ids, best))
+        return ((int(v), min(max(int(s), -(2**63)), 2**63 - 1)) for v, s in zip(best_ids, best))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_cells: int = SHARD_CELLS) -> DataFrame:
     """The k best candidates of each query: query_id, rank, vec_id, score.
 
-    Both inputs have (vec_id long, weights array<long>).  Rows with a null id,
-    a null or empty vector or a null weight take no part.  Vectors of different
-    lengths share the leading terms; what one lacks is zero.  A row never
-    matches a query of its own id; repeated rows are candidates each, and a
-    query id is answered once per distinct (id, vector).  Ties go to the
-    smaller vec_id.  Scores beyond 64 bits are clamped.  No query or no
-    candidate gives an empty result.
+    Both inputs have (vec_id long, weights); weights are an array of longs, or of
+    doubles that are whole numbers, of any size.  Rows with a null id, a null or
+    empty vector, or a weight that is null or not finite take no part.  Vectors of
+    different lengths share the leading terms; what one lacks is zero.  A row
+    never matches a query of its own id; repeated rows are candidates each.  Equal
+    queries are answered once; if one id has several vectors, each is a query of
+    its own with ranks of its own.  Ties go to the smaller vec_id.  Scores
+    beyond 64 bits are clamped after ranking within a shard.  Extra columns are
+    ignored, whatever they are called.  No query or no candidate gives an empty
+    result.
     """
-    usable = "vec_id IS NOT NULL AND size(weights) > 0 AND NOT exists(weights, x -> x IS NULL)"
-    rows = vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("weights").cast("array<bigint>").alias("weights"))
-    asked = queries.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("weights").cast("array<bigint>").alias("weights")).distinct()
-    n, n_asked, width = rows.count(), asked.count(), max(rows.agg(F.max(F.size("weights"))).first()[0] or 0, asked.agg(F.max(F.size("weights"))).first()[0] or 0)
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_asked // query_rows))
-    pad = lambda c: F.concat(c, F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size(c)))
-    left = (
-        rows.select("vec_id", pad(F.col("weights")).alias("weights"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    )
-    right = (
-        asked.select("vec_id", pad(F.col("weights")).alias("weights"), F.pmod(F.xxhash64("vec_id", "weights"), F.lit(blocks)).alias("block"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    )
-
-    def run(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        hits = []
-        if len(candidates) and len(queries):
-            ids, weights = candidates["vec_id"].to_numpy(), _matrix(candidates["weights"])
-            hits = list(search_shard(ids, weights, queries["vec_id"].to_numpy(), _matrix(queries["weights"]), k))
-        return pd.DataFrame(hits, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(run, _HITS)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    kind = "double" if "double" in dict(vectors.dtypes)["weights"] or "double" in dict(queries.dtypes)["weights"] else "bigint"
+    usable = "vec_id IS NOT NULL AND size(weights) > 0 AND NOT exists(weights, x -> x IS NULL OR isnan(x) OR abs(double(x)) = double('Infinity'))"
+    plain = lambda df: df.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("weights").cast(f"array<{kind}>").alias("weights"))
+    rows, asked = plain(vectors), plain(queries).distinct()
+    n, width = rows.agg(F.count("*"), F.max(F.size("weights"))).first()
+    width = max(width or 1, asked.agg(F.max(F.size("weights"))).first()[0] or 1)
+    shards = max(1, -(-n // max(1, shard_cells // width)))
+    pad = lambda c: F.concat(c, F.array_repeat(F.lit(0).cast(kind), F.lit(width) - F.size(c)))
+    left = rows.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"), F.lit(0).alias("asks"), "vec_id", F.lit(0).cast("long").alias("asked"), pad(F.col("weights")).alias("weights"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
+    right = asked.select(every.alias("shard"), F.lit(1).alias("asks"), "vec_id", F.xxhash64("weights").alias("asked"), pad(F.col("weights")).alias("weights"))
+    parts = min(shards, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = left.unionAll(right).repartition(parts, "shard").sortWithinPartitions("shard", "asks")
+    cast = np.float64 if kind == "double" else np.int64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, shard = None, [], None
+        for batch in batches:
+            numbers, asks, ids, hashes = (c.to_numpy() for c in batch.columns[:4])
+            values = batch.column(4).flatten().to_numpy().astype(cast).reshape(-1, width)
+            cuts = np.flatnonzero(np.concatenate([[True], (numbers[1:] != numbers[:-1]) | (asks[1:] != asks[:-1]), [True]])) if len(ids) else []
+            hits = []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if numbers[a] != at:
+                    at, held, shard = numbers[a], [], None
+                if not asks[a]:
+                    held.append((ids[a:b].copy(), values[a:b].copy()))
+                elif held or shard:
+                    if shard is None:
+                        shard, held = Shard(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])), []
+                    hits += [(q, h, *found) for q, h, query in zip(ids[a:b].tolist(), hashes[a:b].tolist(), values[a:b]) for found in shard.best(q, query, k)]
+            if hits:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*hits)], names=["query_id", "asked", "vec_id", "score"])
+
+    order = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
+    return arrow_batches(dealt, run, _HITS).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
