@@ -318,7 +318,7 @@ def copy_links(rows: DataFrame, nodes: DataFrame, width: int, similarity: float,
     met = met.groupBy("n", "x0", "x1").agg(F.min("key").alias("key"), F.max("bytes").alias("bytes"), F.min("hub").alias("hub")).select("key", "hub", n_chunks("n", "bytes").alias("chunks"))
     met = stored(keyed.join(met, "key"), "buckets")  # a row for each node and bucket that may link it
     wanted = met.groupBy("node").agg((F.max("chunks") > 1).alias("crowd"))
-    rows = stored(rows.join(wanted, "node"), "texts")  # the only shuffle of all texts
+    rows = stored(rows.join(wanted.hint("merge"), "node"), "texts")  # the only shuffle of all texts; ids never go through the driver
     cells = met.where("chunks = 1").select("node", F.col("key").alias("cell"))
     linked = None
     if not met.where("chunks > 1").isEmpty():
