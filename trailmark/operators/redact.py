@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.functions.convert import as_key
@@ -62,32 +62,47 @@ def _flagged(df: DataFrame, flags: DataFrame, id_column: str) -> DataFrame:
     return df.join(keys, as_key(F.col(id_column)) == F.col("_key"), "left").drop("_key")
 
 
-def redact(
+def _hit() -> Column:
+    return F.coalesce(F.col("_flag"), F.lit(0)) != 0
+
+
+def masked(
     df: DataFrame, flags: DataFrame, id_column: str = ID, locality_columns=TEXT_SENSITIVE, coordinate_columns=COORDINATES_SENSITIVE, placeholder: str = "*", add_redaction_column: bool = False, drop_redacted: bool = False
-) -> tuple[DataFrame, int]:
-    """Mask, or drop, the flagged rows; how many they were.  Any flag but 0 counts.  Without flags nothing changes."""
-    if id_column not in df.columns:
-        raise KeyError(id_column)
-    if flags.isEmpty():
-        return df, 0
-    marked = _flagged(df, flags, id_column)
-    hit = F.coalesce(F.col("_flag"), F.lit(0)) != 0
-    n = marked.where(hit).count()
+) -> DataFrame:
+    """Mask, or drop, the flagged rows, in one plan that runs nothing by itself.  Any flag but 0 counts."""
+    marked, hit = _flagged(df, flags, id_column), _hit()
     if drop_redacted:
-        return marked.where(~hit).drop("_flag"), n
+        return marked.where(~hit).drop("_flag")
     kinds = dict(df.dtypes)
     masks = {c: F.when(hit, F.lit(placeholder)).otherwise(F.col(c).cast("string")) for c in locality_columns if c in kinds}
     masks |= {c: F.when(~hit, F.col(c)) for c in coordinate_columns if c in kinds}
     if add_redaction_column:
         masks["is_redacted"] = F.when(hit, 1).otherwise(0)
-    return marked.withColumns(masks).drop("_flag"), n
+    return marked.withColumns(masks).drop("_flag")
 
 
-def redact_events(df: DataFrame, flags: DataFrame, objects: DataFrame, **how) -> tuple[DataFrame, int]:
-    """As :func:`redact`, strictly: an event is flagged if any of its objects is, not only the one that was kept."""
+def redact(df: DataFrame, flags: DataFrame, id_column: str = ID, **how) -> tuple[DataFrame, int]:
+    """As :func:`masked`, and how many rows were flagged, which takes a job.  Without flags nothing changes."""
+    n = _flagged(df, flags, id_column).where(_hit()).count()
+    if not n and flags.isEmpty():
+        return df, 0
+    return masked(df, flags, id_column, **how), n
+
+
+def _one_each(df: DataFrame, id_column: str) -> DataFrame:
+    """The least row of each id, so that it is the same one in every run."""
+    return df.groupBy(F.col(id_column).alias("_id")).agg(F.min(F.struct(*df.columns)).alias("_row")).select("_row.*")
+
+
+def event_flags(flags: DataFrame, objects: DataFrame) -> DataFrame:
+    """(collectingeventid, is_redacted): an event is flagged if any of its objects is, not only the one that was kept."""
     of = lower_names(objects).select(ID, "collectingeventid").join(flags.select(ID, "is_redacted"), ID)
-    events = of.groupBy("collectingeventid").agg(F.max("is_redacted").alias("is_redacted"))
-    return redact(df, events, id_column="collectingeventid", **how)
+    return of.groupBy("collectingeventid").agg(F.max("is_redacted").alias("is_redacted"))
+
+
+def redact_events(df: DataFrame, flags: DataFrame, objects: DataFrame, **how) -> tuple[DataFrame, int]:
+    """As :func:`redact`, strictly: by the flags of whole events."""
+    return redact(df, event_flags(flags, objects), id_column="collectingeventid", **how)
 
 
 def verify_redaction(df: DataFrame, flags: DataFrame, id_column: str = ID, locality_columns=TEXT_SENSITIVE, coordinate_columns=COORDINATES_SENSITIVE, placeholder: str = "*") -> MaskCheck:
@@ -98,13 +113,13 @@ def verify_redaction(df: DataFrame, flags: DataFrame, id_column: str = ID, local
     place = any_of([F.col(c).isNotNull() for c in coordinate_columns if c in df.columns])
     told = marked.withColumns({"bad_locality": text, "bad_coordinates": place})
     n = told.agg(F.count("*"), F.count_if("bad_locality"), F.count_if("bad_coordinates")).first()
-    return MaskCheck(*n, told.where("bad_locality OR bad_coordinates").dropDuplicates([id_column]).drop("_flag"))
+    return MaskCheck(*n, _one_each(told.where("bad_locality OR bad_coordinates").drop("_flag"), id_column))
 
 
 def verify_redaction_drop(df: DataFrame, flags: DataFrame, id_column: str = ID) -> DropCheck:
     """Rows that should have been dropped."""
     left = _flagged(df, flags, id_column).where("_flag = 1").drop("_flag")
-    return DropCheck(left.count(), left.dropDuplicates([id_column]))
+    return DropCheck(left.count(), _one_each(left, id_column))
 
 
 def redacted_share(flagged: int, total: int) -> float:

@@ -153,24 +153,24 @@ def _redactable(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def redact_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _ = redact.redact(*_redactable(spark, sf_dir), add_redaction_column=True)
+    out = redact.masked(*_redactable(spark, sf_dir), add_redaction_column=True)
     return out.select("collectingeventid", "collectionobjectid", "localityname", "namedplace", "text1", "latitude1", "longitude1", "centroidlat", "centroidlon", "is_redacted")
 
 
 def redact_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _ = redact.redact(*_redactable(spark, sf_dir), drop_redacted=True)
+    out = redact.masked(*_redactable(spark, sf_dir), drop_redacted=True)
     return out.select("collectingeventid", "collectionobjectid", "localityname")
 
 
 def redact_events_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, flags = _redactable(spark, sf_dir)
-    out, _ = redact.redact_events(df, flags, _source(spark, sf_dir)("collectionobject"))
+    out = redact.masked(df, redact.event_flags(flags, _source(spark, sf_dir)("collectionobject")), "collectingeventid")
     return out.select("collectingeventid", "localityname", "latitude1")
 
 
 def verify_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, flags = _redactable(spark, sf_dir)
-    frames = {"unmasked": df, "texts only": redact.redact(df, flags, coordinate_columns=())[0], "masked": redact.redact(df, flags)[0]}
+    frames = {"unmasked": df, "texts only": redact.masked(df, flags, coordinate_columns=()), "masked": redact.masked(df, flags)}
     told = {k: redact.verify_redaction(x, flags) for k, x in frames.items()}
     rows = [(k, t.flagged_rows, t.bad_locality_rows, t.bad_coordinate_rows, t.ok) for k, t in told.items()]
     return spark.createDataFrame(rows, "frame string, flagged_rows long, bad_locality_rows long, bad_coordinate_rows long, ok boolean")
@@ -178,10 +178,26 @@ def verify_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def verify_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, flags = _redactable(spark, sf_dir)
-    told = {"kept": redact.verify_redaction_drop(df, flags), "dropped": redact.verify_redaction_drop(redact.redact(df, flags, drop_redacted=True)[0], flags)}
+    told = {"kept": redact.verify_redaction_drop(df, flags), "dropped": redact.verify_redaction_drop(redact.masked(df, flags, drop_redacted=True), flags)}
     return spark.createDataFrame([(k, t.flagged_rows, t.ok) for k, t in told.items()], "frame string, flagged_rows long, ok boolean")
 
 
+def verify_offenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, flags = _redactable(spark, sf_dir)
+    masked = redact.verify_redaction(redact.masked(df, flags, coordinate_columns=()), flags).offenders
+    return masked.select("collectionobjectid", "collectingeventid", "localityname", "bad_locality", "bad_coordinates")
+
+
+def drop_offenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redact.verify_redaction_drop(*_redactable(spark, sf_dir)).offenders.select("collectionobjectid", "collectingeventid")
+
+
+def redacted_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = redact.masked(*_redactable(spark, sf_dir), add_redaction_column=True).agg(F.sum("is_redacted").alias("flagged"), F.count("*").alias("total"))
+    row = out.first()
+    return out.withColumn("share", F.round(F.lit(redact.redacted_share(row["flagged"], row["total"])), 9))
+
+
 def density_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.density_grid(_fit(spark, sf_dir), grid_size=GRID).withColumns({c: F.round(c, 9) for c in ("x_centre", "y_centre")})
 
@@ -205,6 +221,14 @@ def map_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inside.withColumns({k: F.round(F.lit(v), 9) for k, v in told.items()})
 
 
+def map_extent_zoomed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extents that a number as zoom, and the three to two aspect, give."""
+    df = _fit(spark, sf_dir)
+    views = {f"{z}{' 3:2' if a else ''}": density.extent(df, z, aspect=a) for z in ("auto", 2, 20) for a in (False, True)}
+    rows = [(k, *map(float, v), density.scale_bar_km(v)) for k, v in views.items()]
+    return spark.createDataFrame(rows, "view string, west double, east double, south double, north double, bar_km double").select("view", *(F.round(c, 6).alias(c) for c in ("west", "east", "south", "north", "bar_km")))
+
+
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters with labels as if made by hand, a third of the events left without."""
     df = _clustered(spark, sf_dir, COARSE)
@@ -227,8 +251,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_filter_project, fetch_by_ids, core_join_precise, core_join_centroid, core_join_nullsafe, clean_coalesce_flag, spatial_flag_counts, centroid_fills, prep_dedupe_validity, spatial_components, temporal_islands,
-        cluster_steps, connectivity_check, cluster_sizes, cluster_summary, trajectory_segments, nearest_cluster_sizes, redaction_flags, redact_mask, redact_drop, redact_events_strict, verify_mask, verify_drop,
-        density_grid, density_by_day, map_extent, adjusted_rand, penalised_ari, size_difference,
+        cluster_steps, connectivity_check, cluster_sizes, cluster_summary, trajectory_segments, nearest_cluster_sizes, redaction_flags, redact_mask, redact_drop, redact_events_strict, verify_mask, verify_drop, verify_offenders, drop_offenders, redacted_share,
+        density_grid, density_by_day, map_extent, map_extent_zoomed, adjusted_rand, penalised_ari, size_difference,
     )
 } | {
     "semi_related_objects": _related("collectionobject"),

@@ -196,6 +196,18 @@ SELECT *, (t1 + t2) / 2e0 AS t_mid FROM steps WHERE to_id IS NOT NULL""",
 UNION ALL SELECT 'texts only', count(*), 0, count(*), count(*) = 0 FROM hits UNION ALL SELECT 'masked', count(*), 0, 0, true FROM hits""",
     "verify_drop": _with(*BASE, _FLAGS, ("hits", "SELECT f.* FROM firsts f JOIN flags USING (collectionobjectid) WHERE is_redacted = 1"))
     + "SELECT 'kept' AS frame, count(*) AS flagged_rows, count(*) = 0 AS ok FROM hits UNION ALL SELECT 'dropped', 0, true",
+    "verify_offenders": _with(*BASE, _FLAGS)
+    + "SELECT collectionobjectid, min(collectingeventid) AS collectingeventid, '*' AS localityname, false AS bad_locality, true AS bad_coordinates FROM firsts JOIN flags USING (collectionobjectid) WHERE is_redacted = 1 GROUP BY collectionobjectid",
+    "drop_offenders": _with(*BASE, _FLAGS) + "SELECT collectionobjectid, min(collectingeventid) AS collectingeventid FROM firsts JOIN flags USING (collectionobjectid) WHERE is_redacted = 1 GROUP BY collectionobjectid",
+    "redacted_share": _with(*BASE, _FLAGS)
+    + f"SELECT CAST(count(*) FILTER ({_HIT}) AS BIGINT) AS flagged, count(*) AS total, round(100.0 * count(*) FILTER ({_HIT}) / count(*), 9) AS share FROM firsts LEFT JOIN flags USING (collectionobjectid)",
+    "map_extent_zoomed": _with(*BASE, ("m", "SELECT min(longitude1) AS x0, max(longitude1) AS x1, min(latitude1) AS y0, max(latitude1) AS y1 FROM fit"))
+    + """, z AS (SELECT * FROM (VALUES ('auto', 0.1), ('2', 0.5), ('20', 0.05)) v(name, share)),
+w AS (SELECT name, x0 - (x1 - x0) * share AS x0, x1 + (x1 - x0) * share AS x1, y0 - (y1 - y0) * share AS y0, y1 + (y1 - y0) * share AS y1 FROM m, z),
+a AS (SELECT name, x0, x1, y0, y1 FROM w UNION ALL
+  SELECT name || ' 3:2', (x0 + x1) / 2 - greatest(x1 - x0, 1.5 * (y1 - y0)) / 2, (x0 + x1) / 2 + greatest(x1 - x0, 1.5 * (y1 - y0)) / 2,
+    (y0 + y1) / 2 - greatest(y1 - y0, (x1 - x0) / 1.5) / 2, (y0 + y1) / 2 + greatest(y1 - y0, (x1 - x0) / 1.5) / 2 FROM w)
+SELECT name AS view, round(x0, 6) AS west, round(x1, 6) AS east, round(y0, 6) AS south, round(y1, 6) AS north, round((x1 - x0) * 111 / 10, 6) AS bar_km FROM a""",
     "density_grid": _grid(""),
     "density_by_day": _grid("day"),
     "time_histogram": _histogram(False),

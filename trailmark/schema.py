@@ -1,4 +1,4 @@
-"""Column lists and declared types of the core tables."""
+"""Column lists and declared types of the core tables: fixed values of the interface, in their natural order."""
 
 from __future__ import annotations
 

@@ -149,8 +149,10 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     """CSV with a header at ``path``.
 
     With ``single_file`` the rows go into one file of that name (one task
-    writes it), else into a folder of parts.  Writing goes to a folder beside
-    the target first, so a path may be replaced while it is being read.
+    writes it), else into a folder of parts, which is what large outputs want.
+    Writing goes to a folder beside the target first, so a path may be replaced
+    while it is being read; what was there is put aside until the new rows are in
+    place, so a crash at any point leaves one of the two.
     """
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -163,6 +165,14 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     if single_file:
         parts = [s.getPath() for s in fs.listStatus(staging) if s.getPath().getName().startswith("part-")]
         made = parts[0]
-    fs.delete(target, True)
-    fs.rename(made, target)
+    aside = jvm.org.apache.hadoop.fs.Path(path + ".before")
+    if fs.exists(target):
+        fs.delete(aside, True)
+        if not fs.rename(target, aside):
+            raise OSError(f"cannot put {path} aside")
+    if not fs.rename(made, target):
+        if fs.exists(aside):
+            fs.rename(aside, target)
+        raise OSError(f"cannot write {path}; the rows are in {made}")
+    fs.delete(aside, True)
     fs.delete(staging, True)
