@@ -82,7 +82,21 @@ def test_two_clusters(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0, "2020-01-01"), (2, 0.001, 0.001, "2020-01-02"), (3, 10.0, 20.0, "2020-02-01"), (4, 10.001, 20.001, "2020-02-02")], SCHEMA)
     got = cluster.create_pipeline(1, 5).transform(df)
     assert sorted(r["count"] for r in got.groupBy("spatiotemporal_cluster_id").count().collect()) == [2, 2]
-    assert [n for n, _ in cluster.create_pipeline().steps()] == ["preprocessor", "iterative_spatiotemporal", "validate_connectivity"]
+    assert [n for n, _ in cluster.create_pipeline().steps()] == ["preprocessor", "spatial_dbscan", "iterative_spatiotemporal", "validate_connectivity"]
+    for c in ("spatial_cluster_id", "temporal_cluster_id", "spatiotemporal_cluster_id"):
+        assert sorted({r[c] for r in got.collect()}) == [0, 1]
+
+
+def test_steps_may_be_replaced_added_and_left_out(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0, "2020-01-01"), (2, 0.001, 0.001, "2020-01-02"), (3, 10.0, 20.0, "2020-02-01")], SCHEMA)
+    plain = cluster.create_pipeline(1, 5).without("spatial_dbscan")
+    assert [n for n, _ in plain.steps()] == ["preprocessor", "iterative_spatiotemporal", "validate_connectivity"]
+    marked = plain.added("only_first", lambda x: x.where("collectingeventid < 3"), before="iterative_spatiotemporal").replaced("validate_connectivity", lambda x: x.withColumn("checked", x["collectingeventid"] > 0))
+    rows = marked.transform(df).collect()
+    assert sorted(r["collectingeventid"] for r in rows) == [1, 2] and all(r["checked"] for r in rows)
+    for wrong in (lambda: plain.without("spatial_dbscan"), lambda: plain.added("preprocessor", lambda x: x), lambda: plain.replaced("none", lambda x: x)):
+        with pytest.raises(KeyError):
+            wrong()
 
 
 def test_disconnected_clusters_are_refused(spark):

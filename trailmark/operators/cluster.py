@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -274,7 +275,7 @@ def refine(points: DataFrame, e_dist: float, e_days: float, max_iter: int = 5) -
 
 
 def iterative_clustering(df: DataFrame, e_dist: float, e_days: float, max_iter: int = 5) -> DataFrame:
-    """Add cluster_key, spatiotemporal_cluster_id (dense), spatial_cluster_id and temporal_cluster_id (least event ids).
+    """Add cluster_key (the least event id) and dense spatiotemporal_cluster_id, spatial_cluster_id and temporal_cluster_id.
 
     ``max_iter`` of 0 returns ``df`` unlabelled.  An empty frame gets the columns and no rows.
     """
@@ -285,37 +286,59 @@ def iterative_clustering(df: DataFrame, e_dist: float, e_days: float, max_iter:
     final = refine(points, e_dist, e_days, max_iter)
     forget(points)
     by_key = final.select("id", "lat", "lon", "day", F.col("spatial_key").alias("block"))
-    time = by_time(by_key, e_days).select("id", F.col("block").alias("temporal_cluster_id"))
-    dense = dense_ids(final.select("block"), ["block"], "spatiotemporal_cluster_id")
-    labels = final.join(dense, "block").join(time, "id").select(F.col("id").alias("_id"), F.col("spatial_key").alias("spatial_cluster_id"), "temporal_cluster_id", "spatiotemporal_cluster_id", F.col("block").alias("cluster_key"))
+    time = by_time(by_key, e_days).select("id", F.col("block").alias("time_key"))
+    keyed = stored(final.join(time, "id").select(F.col("id").alias("_id"), "block", "spatial_key", "time_key"), "keyed")
+    labels = keyed
+    for key, name in (("block", "spatiotemporal_cluster_id"), ("spatial_key", "spatial_cluster_id"), ("time_key", "temporal_cluster_id")):
+        labels = labels.join(dense_ids(keyed.select(key), [key], name), key)
+    labels = labels.select("_id", "spatial_cluster_id", "temporal_cluster_id", "spatiotemporal_cluster_id", F.col("block").alias("cluster_key"))
     clean = df.drop("spatial_cluster_id", "temporal_cluster_id", "spatiotemporal_cluster_id", "cluster_key")
     return clean.join(labels, clean["collectingeventid"] == labels["_id"]).drop("_id")
 
 
 @dataclass(frozen=True)
 class Pipeline:
-    """Named steps, applied in order: clean, cluster, validate."""
+    """Named steps, frames to frames, applied in order; a step may be replaced, added or left out by name."""
 
-    e_dist: float = 10.0
-    e_days: float = 7.0
-    max_iter: int = 5
-    as_of: str | None = None
+    named: tuple[tuple[str, Callable[[DataFrame], DataFrame]], ...]
 
-    def steps(self) -> list[tuple]:
-        return [
-            ("preprocessor", lambda df: preprocess(df, self.as_of)),
-            ("iterative_spatiotemporal", lambda df: iterative_clustering(df, self.e_dist, self.e_days, self.max_iter)),
-            ("validate_connectivity", lambda df: validate_connectivity(df, self.e_dist, self.e_days)),
-        ]
+    def steps(self) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
+        return list(self.named)
+
+    def _at(self, name: str) -> int:
+        names = [n for n, _ in self.named]
+        if name not in names:
+            raise KeyError(f"no step {name}; there are {', '.join(names)}")
+        return names.index(name)
+
+    def replaced(self, name: str, step: Callable[[DataFrame], DataFrame]) -> Pipeline:
+        at = self._at(name)
+        return Pipeline((*self.named[:at], (name, step), *self.named[at + 1 :]))
+
+    def added(self, name: str, step: Callable[[DataFrame], DataFrame], before: str | None = None) -> Pipeline:
+        if name in [n for n, _ in self.named]:
+            raise KeyError(f"there is a step {name} already")
+        at = len(self.named) if before is None else self._at(before)
+        return Pipeline((*self.named[:at], (name, step), *self.named[at:]))
+
+    def without(self, name: str) -> Pipeline:
+        at = self._at(name)
+        return Pipeline((*self.named[:at], *self.named[at + 1 :]))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        for name, step in self.steps():
+        for _, step in self.named:
             df = step(df)
-            if name == "iterative_spatiotemporal":
-                df = stored(df, "clustered")
         return df
 
 
 def create_pipeline(e_dist: float = 10.0, e_days: float = 7.0, max_iter: int = 5, as_of: str | None = None) -> Pipeline:
+    """Clean, cluster by place, refine by place and time until nothing splits, validate."""
     _positive(e_dist=e_dist, e_days=e_days)
-    return Pipeline(e_dist, e_days, max_iter, as_of)
+    return Pipeline(
+        (
+            ("preprocessor", lambda df: preprocess(df, as_of)),
+            ("spatial_dbscan", lambda df: spatial_dbscan(df, e_dist)),
+            ("iterative_spatiotemporal", lambda df: stored(iterative_clustering(df, e_dist, e_days, max_iter), "clustered")),
+            ("validate_connectivity", lambda df: validate_connectivity(df, e_dist, e_days)),
+        )
+    )
