@@ -205,7 +205,7 @@ def test_decontamination_matches_brute_force(spark, block_bytes):
     assert told == want
     assert all(r["items_sha256"] == hashlib.sha256(",".join(r["item_ids"]).encode()).hexdigest() and r["contaminated"] == (r["n_hit"] > 0) for r in got)
     assert next(r for r in got if r["n_words"] > 10_000)["n_hit"] >= 12
-    both = decontam.decontaminate(spark, df, bench, block_bytes=block_bytes, keep=("doc_id", "n_hit"))
-    assert both.columns[:3] == ["doc_id", "n_hit_", "n_words"] and {r["n_hit_"] for r in both.collect()} == {0.5}
+    both = decontam.decontaminate(spark, df, bench, block_bytes=block_bytes, keep=("doc_id", "n_hit", "_row_"))
+    assert both.columns[:4] == ["doc_id", "n_hit_", "_row__", "n_words"] and {r["n_hit_"] for r in both.collect()} == {0.5}
     assert decontam.decontaminate(spark, df, bench.limit(0)).where("contaminated").count() == 0
     assert decontam.decontaminate(spark, df.limit(0), bench).count() == 0

@@ -122,14 +122,15 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     counts once, with the windows of both texts; a null item id is the text
     ``null``.  An empty benchmark marks nothing, an empty table of documents gives
     an empty result.  Other columns of either table are ignored; a column of
-    ``keep`` that is named like a new one gets an underscore.
+    ``keep`` that is named like a new one, or like a name used on the way
+    (``_text_``, ``_row_``, ``_ids_``, ``_ends_``), gets an underscore.
     """
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)))
     new = tuple(x.split()[0] for x in FOUND.split(", "))
-    rows = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in beside(keep, new).items()], F.col("text").alias("_text_"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in beside(keep, (*new, "_text_", "_row_", "_ids_", "_ends_")).items()], F.col("text").alias("_text_"))
     kept = rows.schema.fields[:-1]
     names = [*(f.name for f in kept), *new]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept) + FOUND
