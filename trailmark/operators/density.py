@@ -6,6 +6,9 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+from trailmark.plans.shared import forget, stored
 
 VIEWS = {"california": (-125.0, -113.0, 32.0, 42.0), "us": (-130.0, -60.0, 24.0, 50.0), "world": (-180.0, 180.0, -90.0, 90.0)}
 
@@ -22,25 +25,64 @@ def _with_extent(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({k: F.lit(v) for k, v in extent.asDict().items()})
 
 
+def weighted_quantiles(counted: DataFrame, shares: list[float]) -> list[float]:
+    """Exact quantiles, between two values by straight line, of values ``x`` that occur ``n`` times each; there must be one at least.
+
+    The values are range-partitioned and only counts a partition reach the
+    driver; a quantile is then looked up in the partitions that hold its ranks.
+    """
+    spark = counted.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(counted.repartitionByRange(parts, "x").withColumn("_part", F.spark_partition_id()), "ranks")
+    starts, total = {}, 0
+    for r in ranged.groupBy("_part").agg(F.sum("n").alias("n")).orderBy("_part").collect():
+        starts[r["_part"]] = total
+        total += r["n"]
+    places = [(total - 1) * s for s in shares]
+    ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
+    holds = {r: max(k for k, v in starts.items() if v <= r) for r in ranks}
+    upto = F.sum("n").over(Window.partitionBy("_part").orderBy("x"))
+    rows = ranged.where(F.col("_part").isin(sorted(set(holds.values())))).withColumn("upto", upto)
+    found = {}
+    for rank, part in holds.items():
+        inside = (F.col("_part") == part) & (F.col("upto") > rank - starts[part])
+        found[rank] = rows.where(inside).agg(F.min("x")).first()[0]
+    forget(ranged)
+    return [found[math.floor(p)] + (found[math.ceil(p)] - found[math.floor(p)]) * (p - math.floor(p)) for p in places]
+
+
 def time_histogram(df: DataFrame, time: str = "startdate", bins: int | str = "auto") -> DataFrame:
     """bin, lower and upper edge in days since 1970, n; only bins that have rows.
 
-    ``auto`` takes the larger number of bins of Sturges' and of Freedman and Diaconis' rule.
+    ``auto`` takes the larger number of bins of Sturges' and of Freedman and
+    Diaconis' rule.  The rows are read once, into counts of their distinct times.
     """
-    rows = df.where(F.col(time).isNotNull()).select((F.unix_micros(F.col(time).cast("timestamp")) / F.lit(86_400_000_000.0)).alias("x"))
-    told = rows.agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"), F.percentile("x", [0.25, 0.75]).alias("q")).first()
+    x = (F.unix_micros(F.col(time).cast("timestamp")) / F.lit(86_400_000_000.0)).alias("x")
+    counted = stored(df.where(F.col(time).isNotNull()).select(x).groupBy("x").agg(F.count("*").alias("n")), "times")
+    told = counted.agg(F.sum("n").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).first()
     n = bins
     if bins == "auto":
         n = 1
         if told["n"] and told["high"] > told["low"]:
-            span, iqr = told["high"] - told["low"], told["q"][1] - told["q"][0]
+            low_quartile, high_quartile = weighted_quantiles(counted, [0.25, 0.75])
+            span, iqr = told["high"] - told["low"], high_quartile - low_quartile
             sturges = span / (math.log2(told["n"]) + 1)
             fd = 2 * iqr / told["n"] ** (1 / 3)
             n = max(1, math.ceil(span / (min(sturges, fd) if fd else sturges)))
-    rows = rows.withColumns({"low": F.lit(told["low"]), "high": F.lit(told["high"])})
+    rows = counted.withColumns({"low": F.lit(told["low"]), "high": F.lit(told["high"])})
     width = (F.col("high") - F.col("low")) / n
-    counted = rows.groupBy(_bin(F.col("x"), F.col("low"), F.col("high"), n).alias("bin"), "low", "high").agg(F.count("*").alias("n"))
-    return counted.select("bin", (F.col("low") + F.col("bin") * width).alias("lower"), (F.col("low") + (F.col("bin") + 1) * width).alias("upper"), "n")
+    dealt = rows.groupBy(_bin(F.col("x"), F.col("low"), F.col("high"), n).alias("bin"), "low", "high").agg(F.sum("n").alias("n"))
+    return dealt.select("bin", (F.col("low") + F.col("bin") * width).alias("lower"), (F.col("low") + (F.col("bin") + 1) * width).alias("upper"), "n")
+
+
+def time_ticks(df: DataFrame, time: str = "startdate", n: int = 6) -> DataFrame:
+    """tick, seconds, label: ``n`` evenly spaced dates of a colour scale from the first to the last time; none without times."""
+    seconds = F.unix_seconds(F.col(time).cast("timestamp"))
+    ends = df.agg(F.min(seconds).alias("low"), F.max(seconds).alias("high")).where("low IS NOT NULL")
+    ticks = ends.select("low", "high", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("tick"))
+    at = F.col("low") + F.col("tick") * (F.col("high") - F.col("low")) / F.lit(float(max(n - 1, 1)))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(at / 86_400).cast("int"))
+    return ticks.select("tick", at.alias("seconds"), F.date_format(day, "yyyy-MM-dd").alias("label"))
 
 
 def density_grid(df: DataFrame, lat: str = "latitude1", lon: str = "longitude1", grid_size: int = 100, by: list[Column] | None = None) -> DataFrame:
@@ -57,10 +99,10 @@ def density_grid(df: DataFrame, lat: str = "latitude1", lon: str = "longitude1",
 
 
 def density_by_day(df: DataFrame, time: str = "startdate", grid_size: int = 100, **where) -> DataFrame:
-    """As :func:`density_grid` for each day, all on the extent of all days; n_max is the fullest cell of the all-days grid."""
+    """As :func:`density_grid` for each day, all on the extent of all days; n_min and n_max: the emptiest and fullest cell of the all-days grid that has rows."""
     rows = df.where(F.col(time).isNotNull())
-    top = density_grid(rows, grid_size=grid_size, **where).agg(F.max("n")).first()[0]
-    return density_grid(rows, grid_size=grid_size, by=[F.to_date(time).alias("day")], **where).withColumn("n_max", F.lit(top))
+    least, most = density_grid(rows, grid_size=grid_size, **where).agg(F.min("n"), F.max("n")).first()
+    return density_grid(rows, grid_size=grid_size, by=[F.to_date(time).alias("day")], **where).withColumns({"n_min": F.lit(least), "n_max": F.lit(most)})
 
 
 def extent(df: DataFrame, zoom: float | str = "auto", lat: str = "latitude1", lon: str = "longitude1", aspect: bool = False) -> tuple[float, float, float, float]:
@@ -73,14 +115,9 @@ def extent(df: DataFrame, zoom: float | str = "auto", lat: str = "latitude1", lo
     share = 0.1 if zoom == "auto" else 1 / zoom
     least = 0.1 if zoom == "auto" else 0.1 / zoom
     bx, by = (x1 - x0) * share or least, (y1 - y0) * share or least
-    x0, x1, y0, y1 = x0 - bx, x1 + bx, y0 - by, y1 + by
-    if aspect:  # three wide to two high
-        w, h = x1 - x0, y1 - y0
-        if w < 1.5 * h:
-            x0, x1 = x0 - (1.5 * h - w) / 2, x1 + (1.5 * h - w) / 2
-        else:
-            y0, y1 = y0 - (w / 1.5 - h) / 2, y1 + (w / 1.5 - h) / 2
-    return x0, x1, y0, y1
+    if aspect:  # the margins, not the whole map, are three wide to two high
+        bx, by = max(bx, 1.5 * by), max(by, bx / 1.5)
+    return x0 - bx, x1 + bx, y0 - by, y1 + by
 
 
 def within_extent(df: DataFrame, box: tuple[float, float, float, float], lat: str = "latitude1", lon: str = "longitude1") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trailmark.operators import cluster, density, evaluate, prepare, redact, summary
 from trailmark.plans.adapter import core_tables
-from trailmark.plans.oracles import AS_OF, COARSE, GRID, HISTOGRAM_BINS, ORACLES, TARGETS, USUAL
+from trailmark.plans.oracles import AS_OF, COARSE, FOLDS, GRID, HISTOGRAM_BINS, LIMIT, ORACLES, SAMPLE, TABLE_LIMITS, TARGETS, USUAL
 from trailmark.plans.shared import stored
 from trailmark.sources import tables as sources
 
@@ -59,18 +59,41 @@ def core_join_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(prepare.merge_core_tables(core_tables(spark, sf_dir), filter_related=False))
 
 
+CORE = ("collectingevent", "collectionobject", "locality", "geography")
+
+
+def _keys(found: dict[str, DataFrame], **more: str) -> DataFrame:
+    """(source, id) of the rows of each table, with constant columns before them."""
+    kept = {k: F.lit(v) for k, v in more.items()}
+    parts = [df.select(*[c.alias(k) for k, c in kept.items()], F.lit(t).alias("source"), F.col({"collectionobject": "CollectionObjectID"}.get(t, df.columns[0])).alias("id")) for t, df in found.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
 def _related(primary: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = sources.load_core_tables(_source(spark, sf_dir), ("collectingevent", "collectionobject", "locality", "geography"), related_only=True, primary_table=primary)
-        keys = [df.select(F.lit(t).alias("source"), F.col(df.columns[0] if t != "collectionobject" else "CollectionObjectID").alias("id")) for t, df in found.items()]
-        out = keys[0]
-        for more in keys[1:]:
-            out = out.unionAll(more)
-        return out
+        return _keys(sources.load_core_tables(_source(spark, sf_dir), CORE, related_only=True, primary_table=primary))
 
     return query
 
 
+def load_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One limit for all tables; then limits by table, which leave the others whole."""
+    source = _source(spark, sf_dir)
+    return _keys(sources.load_core_tables(source, CORE, limit=LIMIT), limits="one").unionAll(
+        _keys(sources.load_core_tables(source, CORE, limit=LIMIT, table_limits=TABLE_LIMITS), limits="by table"),
+    )
+
+
+def related_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geographies that no locality names are loaded without that condition."""
+    tables = core_tables(spark, sf_dir)
+    tables["geography"] = tables["geography"].withColumn("GeographyID", F.col("GeographyID") + 1000)
+    return _keys(sources.load_core_tables(sources.frames_source(tables), CORE, related_only=True))
+
+
 def clean_coalesce_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = prepare.build_clean_dataframe(core_tables(spark, sf_dir), drop_missing_spatial=False, drop_missing_date=False)
     return _dated(df.select("collectingeventid", "collectionobjectid", "startdate", "latitude1", "longitude1", "spatial_flag"))
@@ -229,6 +252,28 @@ def map_extent_zoomed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "view string, west double, east double, south double, north double, bar_km double").select("view", *(F.round(c, 6).alias(c) for c in ("west", "east", "south", "north", "bar_km")))
 
 
+def time_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.time_ticks(_fit(spark, sf_dir)).withColumn("seconds", F.round("seconds", 6))
+
+
+def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampling operator, with the sample's size as it is used."""
+    return summary.sample_rows(_fit(spark, sf_dir), SAMPLE).select("collectingeventid")
+
+
+def kfold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean scores over folds of clusters that are cells of place and time: what is compared is the dealing and the scoring."""
+    df = _fit(spark, sf_dir)
+    labels = df.where(F.col("collectingeventid") % 3 != 0).select("collectingeventid", F.floor("latitude1").alias("label"))
+
+    def make(side: float, days: float):
+        cells = F.floor(F.col("latitude1") / side) * 100_000 + F.floor(F.unix_date(F.to_date("startdate")) / days)
+        return lambda part: part.withColumn(STC, cells)
+
+    told = evaluate.kfold_scores(df, labels, make, [1.0, 2.0], [4000.0, 40_000.0], FOLDS)
+    return spark.createDataFrame([(*k, v) for k, v in told.items()], "side double, days double, score double").withColumn("score", F.round("score", 9))
+
+
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters with labels as if made by hand, a third of the events left without."""
     df = _clustered(spark, sf_dir, COARSE)
@@ -252,7 +297,7 @@ QUERIES = {
     for f in (
         scan_filter_project, fetch_by_ids, core_join_precise, core_join_centroid, core_join_nullsafe, clean_coalesce_flag, spatial_flag_counts, centroid_fills, prep_dedupe_validity, spatial_components, temporal_islands,
         cluster_steps, connectivity_check, cluster_sizes, cluster_summary, trajectory_segments, nearest_cluster_sizes, redaction_flags, redact_mask, redact_drop, redact_events_strict, verify_mask, verify_drop, verify_offenders, drop_offenders, redacted_share,
-        density_grid, density_by_day, map_extent, map_extent_zoomed, adjusted_rand, penalised_ari, size_difference,
+        density_grid, density_by_day, map_extent, map_extent_zoomed, time_ticks, seeded_sample, load_limits, related_fallback, kfold_scores, adjusted_rand, penalised_ari, size_difference,
     )
 } | {
     "semi_related_objects": _related("collectionobject"),

@@ -11,6 +11,8 @@ LEVELS = 7
 AS_OF = "2030-01-01"
 TARGETS = (1, 2, 5, 10, 50)
 HISTOGRAM_BINS, GRID = 50, 40
+SAMPLE, FOLDS = 5000, 5
+LIMIT, TABLE_LIMITS = 70, {"locality": 20, "geography": 5}
 
 _TEXT = "strftime({}, '%Y-%m-%d')"
 _KM = (
@@ -121,7 +123,7 @@ def _grid(by: str) -> str:
     return (
         _with(*BASE, ("rx", _RANGE.format(c="longitude1")[1:-1]), ("ry", _RANGE.format(c="latitude1")[1:-1]), ("cells", f"SELECT {day}{x} AS x_bin, {y} AS y_bin, count(*) AS n FROM fit, rx, ry GROUP BY ALL"))
         + f"SELECT {'day, ' if by else ''}x_bin, y_bin, n, {centre('x_bin', 'rx')} AS x_centre, {centre('y_bin', 'ry')} AS y_centre"
-        + (f", (SELECT max(n) FROM (SELECT {x} AS a, {y} AS b, count(*) AS n FROM fit, rx, ry GROUP BY ALL)) AS n_max" if by else "")
+        + (f", (SELECT min(n) FROM (SELECT {x} AS a, {y} AS b, count(*) AS n FROM fit, rx, ry GROUP BY ALL)) AS n_min, (SELECT max(n) FROM (SELECT {x} AS a, {y} AS b, count(*) AS n FROM fit, rx, ry GROUP BY ALL)) AS n_max" if by else "")
         + " FROM cells, rx, ry"
     )
 
@@ -146,6 +148,27 @@ def _related(primary: str) -> str:
     )
 
 
+def _keys(tables: dict[str, str], **more: str) -> str:
+    """(source, id) of ``tables``: name -> what to read of it."""
+    key = {"collectingevent": "CollectingEventID", "collectionobject": "CollectionObjectID", "locality": "LocalityID", "geography": "GeographyID"}
+    kept = "".join(f"'{v}' AS {k}, " for k, v in more.items())
+    return " UNION ALL ".join(f"SELECT * FROM (SELECT {kept}'{t}' AS source, {key[t]} AS id FROM {t} {rest})" for t, rest in tables.items())
+
+
+_ORDERED = {"collectingevent": "CollectingEventID", "collectionobject": "CollectionObjectID", "locality": "LocalityID", "geography": "GeographyID"}
+_FOLDS = f"""
+dealt AS (SELECT *, CAST('0x' || substr(md5('42:' || collectingeventid), 1, 8) AS BIGINT) % {FOLDS} AS fold, CAST(floor(latitude1) AS BIGINT) AS place,
+  date_diff('day', DATE '1970-01-01', CAST(startdate AS DATE)) AS day FROM fit),
+settings AS (SELECT * FROM (VALUES (1e0), (2e0)) a(side), (VALUES (4000e0), (40000e0)) b(days)),
+found AS (SELECT side, days, fold, CASE WHEN collectingeventid % 3 <> 0 THEN place END AS t, CAST(floor(latitude1 / side) AS BIGINT) * 100000 + CAST(floor(day / days) AS BIGINT) AS p FROM dealt, settings),
+cells AS (SELECT side, days, fold, t, p, CAST(count(*) AS DOUBLE) AS n FROM found WHERE t IS NOT NULL GROUP BY ALL),
+both_ AS (SELECT side, days, fold, sum(n * (n - 1) / 2) AS b, sum(n) * (sum(n) - 1) / 2 AS pairs FROM cells GROUP BY ALL),
+r_ AS (SELECT side, days, fold, sum(n * (n - 1) / 2) AS r FROM (SELECT side, days, fold, t, sum(n) AS n FROM cells GROUP BY ALL) GROUP BY ALL),
+c_ AS (SELECT side, days, fold, sum(n * (n - 1) / 2) AS c FROM (SELECT side, days, fold, p, sum(n) AS n FROM cells GROUP BY ALL) GROUP BY ALL),
+bad AS (SELECT side, days, fold, sum(CASE WHEN held > 0 THEN n - held ELSE 0 END) / sum(n) AS share FROM (SELECT side, days, fold, p, count(*) AS n, count(t) AS held FROM found GROUP BY ALL) GROUP BY ALL)
+SELECT side, days, round(sum(greatest(0, (b - r * c / pairs) / ((r + c) / 2 - r * c / pairs) - 100 * share)) / {FOLDS}, 9) AS score
+FROM both_ JOIN r_ USING (side, days, fold) JOIN c_ USING (side, days, fold) JOIN bad USING (side, days, fold) GROUP BY ALL"""
+
 _CENTROIDS = "coalesce(latitude1, centroidlat) AS latitude1, coalesce(longitude1, centroidlon) AS longitude1"
 _COALESCED = ", ".join(n for _, n in COLUMNS if n not in ("latitude1", "longitude1")) + ", " + _CENTROIDS
 _BOX = "x0, x1, y0, y1"
@@ -203,11 +226,17 @@ UNION ALL SELECT 'texts only', count(*), 0, count(*), count(*) = 0 FROM hits UNI
     + f"SELECT CAST(count(*) FILTER ({_HIT}) AS BIGINT) AS flagged, count(*) AS total, round(100.0 * count(*) FILTER ({_HIT}) / count(*), 9) AS share FROM firsts LEFT JOIN flags USING (collectionobjectid)",
     "map_extent_zoomed": _with(*BASE, ("m", "SELECT min(longitude1) AS x0, max(longitude1) AS x1, min(latitude1) AS y0, max(latitude1) AS y1 FROM fit"))
     + """, z AS (SELECT * FROM (VALUES ('auto', 0.1), ('2', 0.5), ('20', 0.05)) v(name, share)),
-w AS (SELECT name, x0 - (x1 - x0) * share AS x0, x1 + (x1 - x0) * share AS x1, y0 - (y1 - y0) * share AS y0, y1 + (y1 - y0) * share AS y1 FROM m, z),
-a AS (SELECT name, x0, x1, y0, y1 FROM w UNION ALL
-  SELECT name || ' 3:2', (x0 + x1) / 2 - greatest(x1 - x0, 1.5 * (y1 - y0)) / 2, (x0 + x1) / 2 + greatest(x1 - x0, 1.5 * (y1 - y0)) / 2,
-    (y0 + y1) / 2 - greatest(y1 - y0, (x1 - x0) / 1.5) / 2, (y0 + y1) / 2 + greatest(y1 - y0, (x1 - x0) / 1.5) / 2 FROM w)
+b AS (SELECT *, (x1 - x0) * share AS bx, (y1 - y0) * share AS by_ FROM m, z),
+w AS (SELECT * FROM b UNION ALL SELECT * REPLACE (name || ' 3:2' AS name, greatest(bx, 1.5 * by_) AS bx, greatest(by_, bx / 1.5) AS by_) FROM b),
+a AS (SELECT name, x0 - bx AS x0, x1 + bx AS x1, y0 - by_ AS y0, y1 + by_ AS y1 FROM w)
 SELECT name AS view, round(x0, 6) AS west, round(x1, 6) AS east, round(y0, 6) AS south, round(y1, 6) AS north, round((x1 - x0) * 111 / 10, 6) AS bar_km FROM a""",
+    "time_ticks": _with(*BASE, ("m", "SELECT epoch(CAST(min(startdate) AS DATE)) AS lo, epoch(CAST(max(startdate) AS DATE)) AS hi FROM fit"))
+    + "SELECT CAST(i AS INTEGER) AS tick, round(lo + i * (hi - lo) / 5e0, 6) AS seconds, strftime(DATE '1970-01-01' + CAST(floor((lo + i * (hi - lo) / 5e0) / 86400) AS INTEGER), '%Y-%m-%d') AS label FROM m, range(6) t(i)",
+    "seeded_sample": _with(*BASE) + f"SELECT collectingeventid FROM fit ORDER BY md5('42:' || collectingeventid), collectingeventid LIMIT {SAMPLE}",
+    "load_limits": _with() + _keys({t: f"ORDER BY {k} LIMIT {LIMIT}" for t, k in _ORDERED.items()}, limits="one")
+    + " UNION ALL " + _keys({t: f"ORDER BY {k} LIMIT {TABLE_LIMITS[t]}" if t in TABLE_LIMITS else "" for t, k in _ORDERED.items()}, limits="by table"),
+    "related_fallback": _related("object").replace("SELECT 'geography', GeographyID FROM rg", "SELECT 'geography', GeographyID + 1000 FROM geography"),
+    "kfold_scores": _with(*BASE).rstrip() + "," + _FOLDS,
     "density_grid": _grid(""),
     "density_by_day": _grid("day"),
     "time_histogram": _histogram(False),
