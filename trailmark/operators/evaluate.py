@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.operators.summary import seeded
+from trailmark.plans.shared import forget, stored
 
 PARAM_GRID = {"e_dist": [0.1, 1, 5, 10, 15, 20], "e_days": [3, 5, 7, 9, 10]}
 PENALTY = 100.0
@@ -58,8 +59,10 @@ def size_difference(df: DataFrame, manual: str = "cluster", predicted: str = "sp
 
 def score_clustering(cluster: Callable[[DataFrame], DataFrame], df: DataFrame, labels: DataFrame, key: str = "collectingeventid") -> float:
     """Penalised agreement of ``cluster(df)`` with ``labels`` (key, label), matched by key."""
-    found = cluster(df).join(labels.toDF(key, "_label"), key, "left")
-    return penalised_ari(found, "_label", "spatiotemporal_cluster_id").first()["score"]
+    found = stored(cluster(df).join(labels.toDF(key, "_label"), key, "left").select("_label", "spatiotemporal_cluster_id"), "scored")
+    score = penalised_ari(found, "_label", "spatiotemporal_cluster_id").first()["score"]
+    forget(found)  # the clustering runs once, whatever the score reads
+    return score
 
 
 def folds(df: DataFrame, k: int = 5, seed: int = 42, key: str = "collectingeventid") -> list[DataFrame]:
@@ -70,7 +73,11 @@ def folds(df: DataFrame, k: int = 5, seed: int = 42, key: str = "collectingevent
 
 def kfold_scores(df: DataFrame, labels: DataFrame, make: Callable[[float, float], Callable[[DataFrame], DataFrame]], e_dists: Iterable[float], e_days: Iterable[float], k: int = 5) -> dict[tuple[float, float], float]:
     """Mean score over ``k`` seeded folds for each pair of settings; ``make(e_dist, e_days)`` builds the clustering."""
-    return {(a, b): sum(score_clustering(make(a, b), part, labels) for part in folds(df, k)) / k for a, b in product(e_dists, e_days)}
+    rows, named = stored(df, "folds"), stored(labels, "labels")
+    scores = {(a, b): sum(score_clustering(make(a, b), part, named) for part in folds(rows, k)) / k for a, b in product(e_dists, e_days)}
+    forget(rows)
+    forget(named)
+    return scores
 
 
 def grid_search(df: DataFrame, make: Callable[..., Callable[[DataFrame], DataFrame]], grid: Mapping[str, list] | None = None, n_clusters: int = 10) -> tuple[dict, float, list[float]]:
