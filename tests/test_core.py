@@ -1,9 +1,12 @@
 """Sources, preparation, redaction, summaries, densities and evaluation on small frames."""
 
 import datetime as dt
+import hashlib
 import math
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from trailmark.operators import density, evaluate, prepare, redact, summary
 from trailmark.sources import tables as sources
@@ -72,6 +75,30 @@ def test_connection_options():
     assert "p" not in repr(sources.Connection(password="secret")).split("password")[-1] or "secret" not in repr(sources.Connection(password="secret"))
 
 
+def test_jdbc(spark, core):
+    """The database that Spark's own jars bring, in memory: what is read, pushed down, split and refused."""
+    here = sources.Connection(url="jdbc:derby:memory:trailmark;create=true", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver", user="APP", password="p")
+    for name, df in core.items():
+        df.write.format("jdbc").options(**here.options()).option("dbtable", name).mode("overwrite").save()
+    with sources.connected(spark, here) as source:
+        found = sources.fetch(source, "locality", ["LocalityID"], "Latitude1 > 1")
+        assert {r[0] for r in found.collect()} == {20, 30}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan(Latitude1,1.0)" in plan and "Longitude1" not in plan.split("ReadSchema")[-1]
+        loaded = sources.load_core_tables(source, tuple(core), related_only=True)
+        assert {k: v.count() for k, v in loaded.items()} == {"collectingevent": 2, "collectionobject": 3, "locality": 2, "geography": 2}
+    with pytest.raises(RuntimeError, match="closed"):
+        source("locality")
+    split = here.source(spark, {"locality": ("LocalityID", 0, 40, 4)})("locality")
+    assert split.rdd.getNumPartitions() == 4 and split.count() == 3
+
+
+def test_related_falls_back_to_a_plain_load(spark, core, caplog):
+    tables = core | {"geography": core["geography"].withColumn("GeographyID", F.col("GeographyID") + 1)}
+    loaded = sources.load_core_tables(sources.frames_source(tables), tuple(core), related_only=True, table_limits={"geography": 2})
+    assert sorted(r["GeographyID"] for r in loaded["geography"].collect()) == [1001, 2001] and "geography" in caplog.text
+
+
 def test_fetch_and_load(spark, core):
     source = sources.frames_source(core)
     none = spark.createDataFrame([(None,), (None,)], "id long")
@@ -153,7 +180,21 @@ def test_summaries(spark):
     seg = summary.trajectory_segments(df).collect()
     assert [(r["from_id"], r["to_id"], r["t_mid"]) for r in seg] == [(1, 2, 1577923200.0)]
     assert [r["size"] for r in summary.nearest_sizes(df, [5, 5, 5]).collect()] == [2, 1]
-    assert summary.sample_rows(df, 2).count() == 2
+    picked = [r["collectingeventid"] for r in summary.sample_rows(df, 2).collect()]
+    assert picked == [r["collectingeventid"] for r in summary.sample_rows(df.repartition(3), 2).collect()] == sorted(range(1, 5), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())[:2]
+
+
+def test_one_cluster_over_many_ranges(spark):
+    start = dt.datetime(2020, 1, 1)
+    rows = [(i, None if i % 7 == 0 else 1 if i % 5 else 2, float(i), -float(i), start + dt.timedelta(days=i * 37 % 50)) for i in range(1, 60)]
+    df = spark.createDataFrame(rows, "collectingeventid long, spatiotemporal_cluster_id long, latitude1 double, longitude1 double, startdate timestamp_ntz")
+    want = set()
+    for c in (None, 1, 2):
+        mine = sorted((r for r in rows if r[1] == c), key=lambda r: (r[4], r[0]))
+        want |= {(c, a[0], b[0], a[2], b[3]) for a, b in zip(mine, mine[1:])}
+    got = summary.trajectory_segments(df).collect()
+    assert {(r[0], r["from_id"], r["to_id"], r["lat1"], r["lon2"]) for r in got} == want and len(got) == len(want)
+    assert summary.trajectory_segments(df.limit(0)).count() == 0
 
 
 def test_density(spark):
@@ -165,10 +206,20 @@ def test_density(spark):
     assert density.density_grid(df.limit(0)).count() == 0
     assert density.extent(df, "us") == (-130.0, -60.0, 24.0, 50.0)
     assert density.extent(df, 2.0) == (-0.5, 1.5, -0.5, 1.5)
+    wide = density.extent(df.withColumn("longitude1", F.col("longitude1") * 10), 2.0, aspect=True)
+    assert wide == pytest.approx((-5.0, 15.0, -5 / 1.5, 1 + 5 / 1.5))  # margins of 5 and 0.5, the smaller one raised
+    assert [r["label"] for r in density.time_ticks(df, n=3).collect()] == ["2020-01-01", "2020-01-03", "2020-01-05"]
+    assert density.time_ticks(df.limit(0)).count() == 0 and density.time_histogram(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         density.extent(df, "moon")
 
 
+def test_quantiles(spark):
+    values = [0.0, 1.0, 1.0, 1.0, 2.5, 7.0, 7.0, 30.0, 31.0, 31.5, 99.0]
+    counted = spark.createDataFrame([(v,) for v in values], "x double").groupBy("x").agg(F.count("*").alias("n"))
+    assert density.weighted_quantiles(counted, [0.0, 0.25, 0.75, 0.9, 1.0]) == pytest.approx(np.quantile(values, [0.0, 0.25, 0.75, 0.9, 1.0]))
+
+
 def slow_ari(t, p):
     pairs = lambda keys: sum(math.comb(list(keys).count(k), 2) for k in set(keys))
     both, a, b, n = pairs(list(zip(t, p))), pairs(t), pairs(p), math.comb(len(t), 2)
@@ -186,3 +237,18 @@ def test_evaluation(spark):
     assert evaluate.size_difference(df).first()["score"] == pytest.approx((1 / 3 + 0 + 1 / 3) / 10)
     best, least, scores = evaluate.grid_search(df, lambda e_dist: lambda x: x, {"e_dist": [1, 2]})
     assert best == {"e_dist": 1} and scores == [least, least]
+
+
+def test_folds_and_their_scores(spark):
+    rows = [(i, i % 4 if i % 3 else None, i % 4 if i % 11 else 9) for i in range(60)]
+    df = spark.createDataFrame([(i, c) for i, _, c in rows], "collectingeventid long, spatiotemporal_cluster_id long")
+    labels = spark.createDataFrame([(i, t) for i, t, _ in rows if t is not None], "collectingeventid long, label long")
+    got = evaluate.kfold_scores(df, labels, lambda a, b: lambda x: x, [1.0], [2.0], 3)
+    want = []
+    for fold in range(3):
+        mine = [r for r in rows if int(hashlib.md5(f"42:{r[0]}".encode()).hexdigest()[:8], 16) % 3 == fold]
+        both = [r for r in mine if r[1] is not None]
+        bad = sum(r[1] is None and any(x[2] == r[2] for x in both) for r in mine)
+        want.append(max(0.0, slow_ari([r[1] for r in both], [r[2] for r in both]) - 100 * bad / len(mine)))
+    assert got == {(1.0, 2.0): pytest.approx(sum(want) / 3)}
+    assert sum(part.count() for part in evaluate.folds(df, 3)) == 60

@@ -23,7 +23,7 @@ log = logging.getLogger("trailmark")
 
 @dataclass(frozen=True)
 class Connection:
-    """Settings of a MySQL server, handed to Spark's JDBC reader as options."""
+    """Settings of a MySQL server, handed to Spark's JDBC reader as options; ``url`` and ``driver`` name another database."""
 
     host: str = "localhost"
     user: str = "myuser"
@@ -31,12 +31,14 @@ class Connection:
     database: str = "exped_cluster_db"
     port: int = 3306
     charset: str = "utf8mb4"
+    url: str = ""
+    driver: str = "com.mysql.cj.jdbc.Driver"
 
     def options(self) -> dict[str, str]:
         encoding = "UTF-8" if self.charset.lower().startswith("utf8") else self.charset
         return {
-            "url": f"jdbc:mysql://{self.host}:{self.port}/{self.database}?characterEncoding={encoding}&zeroDateTimeBehavior=CONVERT_TO_NULL",
-            "user": self.user, "password": self.password, "driver": "com.mysql.cj.jdbc.Driver",
+            "url": self.url or f"jdbc:mysql://{self.host}:{self.port}/{self.database}?characterEncoding={encoding}&zeroDateTimeBehavior=CONVERT_TO_NULL",
+            "user": self.user, "password": self.password, "driver": self.driver,
         }
 
     def source(self, spark: SparkSession, partition_on: Mapping[str, tuple[str, int, int, int]] | None = None) -> Source:
@@ -54,8 +56,18 @@ class Connection:
 
 @contextmanager
 def connected(spark: SparkSession, connection: Connection) -> Iterator[Source]:
-    """A source for the time of a ``with`` block; Spark opens and closes the connections itself."""
-    yield connection.source(spark)
+    """A source for the time of a ``with`` block, after which it refuses to read; Spark opens and closes the connections of each job."""
+    read, over = connection.source(spark), False
+
+    def scoped(table: str) -> DataFrame:
+        if over:
+            raise RuntimeError("the connection is closed")
+        return read(table)
+
+    try:
+        yield scoped
+    finally:
+        over = True
 
 
 def parquet_source(spark: SparkSession, folder: str) -> Source:
