@@ -72,8 +72,13 @@ def folds(df: DataFrame, k: int = 5, seed: int = 42, key: str = "collectingevent
 
 
 def kfold_scores(df: DataFrame, labels: DataFrame, make: Callable[[float, float], Callable[[DataFrame], DataFrame]], e_dists: Iterable[float], e_days: Iterable[float], k: int = 5) -> dict[tuple[float, float], float]:
-    """Mean score over ``k`` seeded folds for each pair of settings; ``make(e_dist, e_days)`` builds the clustering."""
-    rows, named = stored(df, "folds"), stored(labels, "labels")
+    """Mean score over ``k`` seeded folds of the labelled rows for each pair of settings; ``make(e_dist, e_days)`` builds the clustering.
+
+    Rows without a label take no part, so here the score is the adjusted Rand index.
+    """
+    key, label = labels.columns
+    named = stored(labels.where(F.col(label).isNotNull()), "labels")
+    rows = stored(df.join(named.select(key), key, "left_semi"), "folds")
     scores = {(a, b): sum(score_clustering(make(a, b), part, named) for part in folds(rows, k)) / k for a, b in product(e_dists, e_days)}
     forget(rows)
     forget(named)

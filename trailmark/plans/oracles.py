@@ -160,14 +160,13 @@ _FOLDS = f"""
 dealt AS (SELECT *, CAST('0x' || substr(md5('42:' || collectingeventid), 1, 8) AS BIGINT) % {FOLDS} AS fold, CAST(floor(latitude1) AS BIGINT) AS place,
   date_diff('day', DATE '1970-01-01', CAST(startdate AS DATE)) AS day FROM fit),
 settings AS (SELECT * FROM (VALUES (1e0), (2e0)) a(side), (VALUES (4000e0), (40000e0)) b(days)),
-found AS (SELECT side, days, fold, CASE WHEN collectingeventid % 3 <> 0 THEN place END AS t, CAST(floor(latitude1 / side) AS BIGINT) * 100000 + CAST(floor(day / days) AS BIGINT) AS p FROM dealt, settings),
+found AS (SELECT side, days, fold, place AS t, CAST(floor(latitude1 / side) AS BIGINT) * 100000 + CAST(floor(day / days) AS BIGINT) AS p FROM dealt, settings WHERE collectingeventid % 3 <> 0),
 cells AS (SELECT side, days, fold, t, p, CAST(count(*) AS DOUBLE) AS n FROM found WHERE t IS NOT NULL GROUP BY ALL),
 both_ AS (SELECT side, days, fold, sum(n * (n - 1) / 2) AS b, sum(n) * (sum(n) - 1) / 2 AS pairs FROM cells GROUP BY ALL),
 r_ AS (SELECT side, days, fold, sum(n * (n - 1) / 2) AS r FROM (SELECT side, days, fold, t, sum(n) AS n FROM cells GROUP BY ALL) GROUP BY ALL),
-c_ AS (SELECT side, days, fold, sum(n * (n - 1) / 2) AS c FROM (SELECT side, days, fold, p, sum(n) AS n FROM cells GROUP BY ALL) GROUP BY ALL),
-bad AS (SELECT side, days, fold, sum(CASE WHEN held > 0 THEN n - held ELSE 0 END) / sum(n) AS share FROM (SELECT side, days, fold, p, count(*) AS n, count(t) AS held FROM found GROUP BY ALL) GROUP BY ALL)
-SELECT side, days, round(sum(greatest(0, (b - r * c / pairs) / ((r + c) / 2 - r * c / pairs) - 100 * share)) / {FOLDS}, 9) AS score
-FROM both_ JOIN r_ USING (side, days, fold) JOIN c_ USING (side, days, fold) JOIN bad USING (side, days, fold) GROUP BY ALL"""
+c_ AS (SELECT side, days, fold, sum(n * (n - 1) / 2) AS c FROM (SELECT side, days, fold, p, sum(n) AS n FROM cells GROUP BY ALL) GROUP BY ALL)
+SELECT side, days, round(sum(greatest(0, (b - r * c / pairs) / ((r + c) / 2 - r * c / pairs))) / {FOLDS}, 9) AS score
+FROM both_ JOIN r_ USING (side, days, fold) JOIN c_ USING (side, days, fold) GROUP BY ALL"""
 
 _CENTROIDS = "coalesce(latitude1, centroidlat) AS latitude1, coalesce(longitude1, centroidlon) AS longitude1"
 _COALESCED = ", ".join(n for _, n in COLUMNS if n not in ("latitude1", "longitude1")) + ", " + _CENTROIDS
