@@ -22,6 +22,8 @@ from trailmark.plans.shared import forget, stored
 LEAST_LANGUAGE = 0.2
 #: Words of a shingle of the near-duplicate stage, and how alike the sets of shingles of copies are at least.
 SHINGLE, ALIKE = 5, 0.8
+#: Differing bits at which the SimHash operator links two fingerprints.
+RADIUS = 4
 
 
 def _aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
@@ -58,12 +60,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: sets of five-word shingles that are 0.8 alike, and chains of such.
+    """One document of each group of near copies: what the SimHash operator links, sets of five-word shingles that are 0.8 alike, and chains of such.
 
     Equal, empty and null texts are copies; long texts are read whole.  Columns
     are handed on as they are; an empty table stays empty.
     """
-    return simhash.one_of_each(docs, SHINGLE, ALIKE)
+    return simhash.one_of_each(docs, SHINGLE, ALIKE, radius=RADIUS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 import zstandard
 
 import corpus_pipeline
-from trailmark.llm import langid, packing, quality, queries
+from trailmark.llm import langid, packing, quality, queries, simhash
 
 HEAD = "doc_id long, text string, lang string, source string, n_chars long"
 CLASH = "score double, predicted int, held_out string, lang_pred string, n_words int, item_ids string, _row string, _kept0_ string, _text_ string"
@@ -157,6 +157,32 @@ def test_stages_match_plain_python(spark, tables):
     assert {i: sum(r["n_tokens"] for r in packed if r["doc_id"] == i) for i in sizes} == sizes
 
 
+def test_near_dedup_links_what_simhash_links(spark):
+    rng = random.Random(17)
+    made = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(12):  # what is repeated counts once in a set, each time in a fingerprint
+        refrain = made(13) * 6
+        texts += [" ".join(refrain + made(15)) for _ in range(3)]
+    texts += [" ".join(made(80)) for _ in range(8)]
+    for _ in range(8):  # 0.8 alike as sets, mostly further apart as fingerprints
+        words = made(200)
+        texts += [" ".join(words), " ".join(words + made(38))]
+    texts += [texts[0].upper(), None, ""]
+    prints, sets = [simhash.fingerprint((t or "").encode()) for t in texts], [shingles(t) for t in texts]
+    near = lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    assert sum(near(*p) and not alike(sets[p[0]], sets[p[1]]) for p in pairs) > 12 and sum(alike(sets[i], sets[j]) and not near(i, j) for i, j in pairs) > 2
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, j in pairs:
+            if near(i, j) or alike(sets[i], sets[j]):
+                label[i] = label[j] = min(label[i], label[j])
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], HEAD).coalesce(1)
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(label))
+
+
 def test_fitted_scores_match_plain_python(spark, tables):
     docs = spark.read.parquet(str(tables / "documents.parquet"))
     text = docs.select("doc_id", "text").collect()

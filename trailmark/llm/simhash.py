@@ -203,7 +203,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, bucket_row
 # Two texts are copies if their sets of five-word shingles are ``similarity`` alike (Jaccard), however they came to differ:
 # words replaced, text added or cut off.  Candidates share one of BANDS keys, each made of ROWS minimum hashes of the set:
 # a pair of similarity s misses all of them with probability (1 - s^ROWS)^BANDS, 6e-7 at 0.8.  Every candidate pair that
-# its bucket's links do not yet connect is then compared by the sets themselves.
+# its bucket's links do not yet connect is then compared by the sets themselves.  With a ``radius``, texts whose
+# fingerprints lie within it are copies too, as of ``near_duplicates``: repeats count there, and no such pair is missed.
 
 BANDS, ROWS = 14, 2
 #: Nodes, and bytes of text, of one bucket that are compared together.
@@ -346,7 +347,17 @@ def copy_links(rows: DataFrame, nodes: DataFrame, width: int, similarity: float,
     return found if linked is None else found.unionAll(linked)
 
 
-def copy_groups(docs: DataFrame, own: str, width: int = 5, similarity: float = 0.8, bucket_rows: int = COPY_ROWS) -> tuple[DataFrame, DataFrame]:
+def print_links(prints: DataFrame, radius: int) -> DataFrame:
+    """Links (src, dst) that connect all nodes of ``prints`` (node, fp) with fingerprints within ``radius``; a node may have several."""
+    prints = stored(prints.distinct(), "prints")
+    first = stored(prints.groupBy("fp").agg(F.min("node").alias("first")), "first")  # the node that stands for a fingerprint
+    same = prints.join(first, "fp").where("node <> first").select(F.col("first").alias("src"), F.col("node").alias("dst"))
+    end = lambda x: first.select(F.col("fp").alias(x), F.col("first").alias(f"{x}_node"))
+    near = near_links(first.select("fp"), radius).distinct().join(end("src"), "src").join(end("dst"), "dst")
+    return same.unionAll(near.select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst")))
+
+
+def copy_groups(docs: DataFrame, own: str, width: int = 5, similarity: float = 0.8, bucket_rows: int = COPY_ROWS, radius: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Of ``docs`` with row numbers ``own``: (``own``, node), equal sets being one node; and (node, component) of the nodes with links."""
     rows = docs.select(own, F.col("text").alias("_text"))
 
@@ -355,17 +366,23 @@ def copy_groups(docs: DataFrame, own: str, width: int = 5, similarity: float = 0
         made = [set_keys(x, width) for x in texts]
         u = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
         keys = pa.ListArray.from_arrays(pa.array(range(0, BANDS * len(made) + 1, BANDS), pa.int32()), u([k for m in made for k in m[2]]))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in texts], pa.int64()), u([m[0] for m in made]), u([m[1] for m in made]), keys], names=["row", "bytes", "d0", "d1", "keys"])
+        fps = pa.nulls(len(made), pa.int64()) if radius is None else u([fingerprint(x) for x in texts])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in texts], pa.int64()), u([m[0] for m in made]), u([m[1] for m in made]), keys, fps], names=["row", "bytes", "d0", "d1", "keys", "fp"])
 
-    told = stored(map_arrow(rows, run, "row long, bytes long, d0 long, d1 long, keys array<long>"), "told")
+    told = stored(map_arrow(rows, run, "row long, bytes long, d0 long, d1 long, keys array<long>, fp long"), "told")
     nodes = stored(told.groupBy("d0", "d1").agg(F.min("row").alias("node"), F.max("bytes").alias("bytes"), F.min("keys").alias("keys")), "nodes")
-    groups = connected_components(copy_links(rows.withColumnRenamed(own, "node"), nodes, width, similarity, bucket_rows))
-    return told.join(nodes.select("d0", "d1", "node"), ["d0", "d1"]).select(F.col("row").alias(own), "node"), groups
+    members = told.join(nodes.select("d0", "d1", "node"), ["d0", "d1"])
+    links = copy_links(rows.withColumnRenamed(own, "node"), nodes, width, similarity, bucket_rows)
+    if radius is not None:
+        links = links.unionAll(print_links(members.select("node", "fp"), radius))
+    return members.select(F.col("row").alias(own), "node"), connected_components(links)
 
 
-def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, bucket_rows: int = COPY_ROWS) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, bucket_rows: int = COPY_ROWS, radius: int | None = None) -> DataFrame:
     """``docs`` without all but one document of each group of near copies.
 
+    Copies are texts whose sets of shingles are ``similarity`` alike and, unless
+    ``radius`` is None, those that :func:`near_duplicates` links at that radius.
     The first row of a group stays.  Texts without words are copies of one
     another, as are equal texts; a null text counts as empty, a very long one is
     read whole.  Columns are handed on as they are, whatever else they are
@@ -375,7 +392,7 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, bucket
     while own in docs.columns:
         own += "_"
     numbered = _numbered(docs, own)
-    members, groups = copy_groups(numbered, own, width, similarity, bucket_rows)
+    members, groups = copy_groups(numbered, own, width, similarity, bucket_rows, radius)
     later = groups.where("node <> component").select("node")
     first = members.where(F.col(own) == F.col("node")).join(later, "node", "left_anti").select(own)
     return numbered.join(first.hint("merge"), own, "left_semi").select(*docs.columns)  # ids of all documents never go through the driver
