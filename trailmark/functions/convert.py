@@ -12,8 +12,10 @@ def as_number(c: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def as_key(c: Column) -> Column:
-    """Long by way of double, so that '7.0' is 7; fractions and unreadable text give null."""
+def as_key(c: Column, kind: str = "") -> Column:
+    """Long by way of double, so that '7.0' is 7; fractions and unreadable text give null.  ``kind`` is the column's type, if known: whole numbers are keys as they are."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return c.cast("bigint")
     exact, x = c.try_cast("bigint"), c.try_cast("double")
     return F.coalesce(F.when(c.try_cast("string").rlike(r"^\s*[+-]?\d+\s*$"), exact), F.when(x == F.floor(x), x.try_cast("bigint")))
 

@@ -105,8 +105,17 @@ def density_by_day(df: DataFrame, time: str = "startdate", grid_size: int = 100,
     return density_grid(rows, grid_size=grid_size, by=[F.to_date(time).alias("day")], **where).withColumns({"n_min": F.lit(least), "n_max": F.lit(most)})
 
 
+def bounds(df: DataFrame, lat: str = "latitude1", lon: str = "longitude1") -> DataFrame:
+    """Two rows, the south-western and the north-eastern corner of all rows: any :func:`extent` of them is that of ``df``."""
+    ends = df.agg(*(f(c).alias(f"{c}_{n}") for c in (lon, lat) for n, f in (("low", F.min), ("high", F.max)))).first()
+    return df.sparkSession.createDataFrame([(ends[0], ends[2]), (ends[1], ends[3])], f"`{lon}` double, `{lat}` double")
+
+
 def extent(df: DataFrame, zoom: float | str = "auto", lat: str = "latitude1", lon: str = "longitude1", aspect: bool = False) -> tuple[float, float, float, float]:
-    """(west, east, south, north) of a map: a number z adds 1/z of the range on each side, ``auto`` a tenth; or a named view."""
+    """(west, east, south, north) of a map: a number z adds 1/z of the range on each side, ``auto`` a tenth; or a named view.
+
+    For several maps of the same rows, the rows may be read once, by :func:`bounds`.
+    """
     if isinstance(zoom, str) and zoom in VIEWS:
         return VIEWS[zoom]
     if isinstance(zoom, str) and zoom != "auto" or not isinstance(zoom, str) and not zoom > 0:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from trailmark.functions.convert import as_key, as_number, as_time
+from trailmark.plans.shared import dealt
 from trailmark.schema import KEPT, REQUIRED
 
 _KEYS = {"collectingeventid", "localityid", "collectionobjectid", "geographyid"}
@@ -23,11 +24,11 @@ def lower_names(df: DataFrame) -> DataFrame:
 
 def project(df: DataFrame, columns: list[str]) -> DataFrame:
     """Those of ``columns`` that exist, lower-cased, keys and numbers converted leniently."""
-    there = {c.lower(): c for c in df.columns}
+    there, kinds = {c.lower(): c for c in df.columns}, dict(df.dtypes)
     out = []
     for name in (c.lower() for c in columns if c.lower() in there):
         c = F.col(f"`{there[name]}`")
-        out.append((as_key(c) if name in _KEYS else as_number(c) if name in _NUMBERS else c).alias(name))
+        out.append((as_key(c, kinds[there[name]]) if name in _KEYS else as_number(c) if name in _NUMBERS else c).alias(name))
     return df.select(*out)
 
 
@@ -41,7 +42,8 @@ def merge_core_tables(tables: Mapping[str, DataFrame], filter_related: bool = Tr
     """Events with their objects (inner), localities and geographies (left), names lower-cased.
 
     With ``filter_related`` null keys match nothing, which is plain equality;
-    without it null keys match one another.
+    without it null keys match one another.  Places are looked up before objects
+    are joined, so once an event, and rows come out dealt by event.
     """
     require_tables(tables)
     event, obj, place, region = (project(tables[t], KEPT[t]) for t in ("collectingevent", "collectionobject", "locality", "geography"))
@@ -51,10 +53,18 @@ def merge_core_tables(tables: Mapping[str, DataFrame], filter_related: bool = Tr
             return left.join(right, key, how)
         return left.join(right, left[key].eqNullSafe(right[key]), how).drop(right[key])
 
-    merged = joined(event, obj, "collectingeventid", "inner")
-    if "localityid" in merged.columns:
-        merged = joined(merged, place, "localityid", "left")
-    return joined(merged, region, "geographyid", "left") if "geographyid" in merged.columns else merged
+    lookups = [(right, key) for right, key, left in ((place, "localityid", event), (region, "geographyid", place)) if key in left.columns]
+    if "localityid" not in event.columns:
+        lookups = []
+    placed, names = event, [*event.columns, *(c for c in obj.columns if c != "collectingeventid")]
+    for right, key in lookups:
+        placed = joined(placed, right, key, "left")
+        names += [c for c in right.columns if c != key]
+        if filter_related:  # the column that a plain join is by comes first
+            names = [key, *(c for c in names if c != key)]
+    if filter_related:
+        obj = dealt(obj, "collectingeventid")
+    return joined(placed, obj, "collectingeventid", "inner").select(*names)
 
 
 def clean_for_clustering(df: DataFrame, drop_missing_spatial: bool = True, drop_missing_date: bool = True, include_centroids: bool = True) -> DataFrame:
@@ -96,15 +106,13 @@ def extract(tables: Mapping[str, DataFrame], include_centroids: bool = False, li
 def first_of_event(df: DataFrame) -> DataFrame:
     """One row per event, the least object id first; null event ids count as one event.
 
-    The rows of an event are few; those without an event id, which may be many,
-    are reduced by an aggregate of their own instead of one window partition.
+    The rows of an event are few.  Those without an event id may be many, but as
+    only the first is asked for, Spark cuts a group to one row a task before it
+    gathers it.  ``df`` is read once.
     """
     by = "collectionobjectid" if "collectionobjectid" in df.columns else "startdate"
     order = Window.partitionBy("collectingeventid").orderBy(F.col(by).asc_nulls_first())
-    known = df.where("collectingeventid IS NOT NULL").withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    unknown = df.where("collectingeventid IS NULL").agg(F.min_by(F.struct(*columns), F.struct(F.col(by).isNotNull(), F.col(by))).alias("_row")).where("_row IS NOT NULL").select("_row.*")
-    return known.unionByName(unknown)
+    return df.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
 
 
 def preprocess(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:

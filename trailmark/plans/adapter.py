@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trailmark.plans.shared import dealt
+
 #: Core table -> SQL that both Spark and DuckDB run; ``read`` names the base tables.
 OBJECTS = """SELECT l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
   l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS oid, * FROM lineitem"""
@@ -31,6 +33,7 @@ _BASE = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 def core_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     base = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _BASE}
+    base["lineitem"] = dealt(base["lineitem"], "l_orderkey")  # as the numbering of objects needs it
     out = {}
     for name, text in SQL.items():
         body = text

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from trailmark.operators import cluster, density, evaluate, prepare, redact, summary
 from trailmark.plans.adapter import core_tables
 from trailmark.plans.oracles import AS_OF, COARSE, FOLDS, GRID, HISTOGRAM_BINS, LIMIT, ORACLES, SAMPLE, TABLE_LIMITS, TARGETS, USUAL
-from trailmark.plans.shared import stored
+from trailmark.plans.shared import forget, stored
 from trailmark.sources import tables as sources
 
 __all__ = ["ORACLES", "QUERIES"]
 
 STC = summary.STC
+PLACED = ("collectingeventid", "collectionobjectid", "localityid", "latitude1", "longitude1", "startdate")
 
 
 def _dated(df: DataFrame) -> DataFrame:
@@ -33,8 +34,13 @@ def _fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.preprocess(_precise(spark, sf_dir), AS_OF)
 
 
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of :func:`_fit` that tell event, object, place and time, stored, for queries that read them more than once."""
+    return stored(_fit(spark, sf_dir).select(*PLACED), "fit")
+
+
 def _clustered(spark: SparkSession, sf_dir: str, settings: tuple[float, float]) -> DataFrame:
-    return cluster.create_pipeline(*settings, as_of=AS_OF).transform(_precise(spark, sf_dir))
+    return cluster.create_pipeline(*settings, as_of=AS_OF).transform(_precise(spark, sf_dir).select(*PLACED))
 
 
 def scan_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,18 +118,18 @@ def prep_dedupe_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spatial_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster.spatial_dbscan(_fit(spark, sf_dir), COARSE[0]).select("collectingeventid", "spatial_cluster_id")
+    return cluster.spatial_dbscan(_placed(spark, sf_dir), COARSE[0]).select("collectingeventid", "spatial_cluster_id")
 
 
 def temporal_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = stored(cluster.spatial_dbscan(_fit(spark, sf_dir), COARSE[0]), "placed")
+    placed = stored(cluster.spatial_dbscan(_placed(spark, sf_dir), COARSE[0]), "placed")
     return cluster.temporal_dbscan(placed, COARSE[1]).select("collectingeventid", "spatial_cluster_id", "temporal_cluster_id")
 
 
 def cluster_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The single steps one after the other, each shown as the least event of the group that it puts an event in."""
     e_dist, e_days = COARSE
-    df = _fit(spark, sf_dir).select("collectingeventid", "latitude1", "longitude1", "startdate")
+    df = _placed(spark, sf_dir).drop("collectionobjectid", "localityid")
     st, stc = ["spatial_cluster_id", "temporal_cluster_id"], [STC]
     for step, by, name in (
         (lambda x: cluster.spatial_dbscan(x, e_dist), st[:1], "spatial_key"),
@@ -133,8 +139,9 @@ def cluster_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         (lambda x: cluster.spatial_reconnect_within_spatiotemporal(x, e_dist), stc, "placed_key"),
         (lambda x: cluster.temporal_reconnect_within_spatiotemporal(x, e_days), stc, "timed_key"),
     ):
-        df = stored(step(df), "step")
-        df = df.join(df.groupBy(*by).agg(F.min("collectingeventid").alias(name)), by)
+        stepped = stored(step(df), "step")
+        df = stored(stepped.join(stepped.groupBy(*by).agg(F.min("collectingeventid").alias(name)), by), "step")
+        forget(stepped)
     return df.select("collectingeventid", "spatial_key", "temporal_key", "reconnected_key", "combined_key", "placed_key", "timed_key")
 
 
@@ -147,7 +154,7 @@ def _fixpoint(settings: tuple[float, float]):
 
 def connectivity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of clusters by place alone, so that time has something to disconnect."""
-    placed = stored(cluster.spatial_dbscan(_fit(spark, sf_dir), COARSE[0]), "placed")
+    placed = stored(cluster.spatial_dbscan(_placed(spark, sf_dir), COARSE[0]), "placed")
     return cluster.disconnects(placed.withColumnRenamed("spatial_cluster_id", STC), *COARSE)
 
 
@@ -175,6 +182,12 @@ def _redactable(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return prepare.first_of_event(_precise(spark, sf_dir)), redact.redaction_flags(_source(spark, sf_dir))
 
 
+def _redactable_twice(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """As :func:`_redactable`, stored, for queries that read them more than once: frames and the flags of their objects."""
+    df = stored(prepare.first_of_event(_precise(spark, sf_dir)), "redactable")
+    return df, stored(redact.redaction_flags(_source(spark, sf_dir), df.select(redact.ID)), "flags")
+
+
 def redact_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = redact.masked(*_redactable(spark, sf_dir), add_redaction_column=True)
     return out.select("collectingeventid", "collectionobjectid", "localityname", "namedplace", "text1", "latitude1", "longitude1", "centroidlat", "centroidlon", "is_redacted")
@@ -192,7 +205,7 @@ def redact_events_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verify_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, flags = _redactable(spark, sf_dir)
+    df, flags = _redactable_twice(spark, sf_dir)
     frames = {"unmasked": df, "texts only": redact.masked(df, flags, coordinate_columns=()), "masked": redact.masked(df, flags)}
     told = {k: redact.verify_redaction(x, flags) for k, x in frames.items()}
     rows = [(k, t.flagged_rows, t.bad_locality_rows, t.bad_coordinate_rows, t.ok) for k, t in told.items()]
@@ -200,33 +213,33 @@ def verify_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verify_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, flags = _redactable(spark, sf_dir)
+    df, flags = _redactable_twice(spark, sf_dir)
     told = {"kept": redact.verify_redaction_drop(df, flags), "dropped": redact.verify_redaction_drop(redact.masked(df, flags, drop_redacted=True), flags)}
     return spark.createDataFrame([(k, t.flagged_rows, t.ok) for k, t in told.items()], "frame string, flagged_rows long, ok boolean")
 
 
 def verify_offenders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, flags = _redactable(spark, sf_dir)
+    df, flags = _redactable_twice(spark, sf_dir)
     masked = redact.verify_redaction(redact.masked(df, flags, coordinate_columns=()), flags).offenders
     return masked.select("collectionobjectid", "collectingeventid", "localityname", "bad_locality", "bad_coordinates")
 
 
 def drop_offenders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redact.verify_redaction_drop(*_redactable(spark, sf_dir)).offenders.select("collectionobjectid", "collectingeventid")
+    return redact.verify_redaction_drop(*_redactable_twice(spark, sf_dir)).offenders.select("collectionobjectid", "collectingeventid")
 
 
 def redacted_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = redact.masked(*_redactable(spark, sf_dir), add_redaction_column=True).agg(F.sum("is_redacted").alias("flagged"), F.count("*").alias("total"))
-    row = out.first()
-    return out.withColumn("share", F.round(F.lit(redact.redacted_share(row["flagged"], row["total"])), 9))
+    row = redact.masked(*_redactable(spark, sf_dir), add_redaction_column=True).agg(F.sum("is_redacted").alias("flagged"), F.count("*").alias("total")).first()
+    told = spark.createDataFrame([tuple(row)], "flagged long, total long")
+    return told.withColumn("share", F.round(F.lit(redact.redacted_share(row["flagged"], row["total"])), 9))
 
 
 def density_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return density.density_grid(_fit(spark, sf_dir), grid_size=GRID).withColumns({c: F.round(c, 9) for c in ("x_centre", "y_centre")})
+    return density.density_grid(_placed(spark, sf_dir), grid_size=GRID).withColumns({c: F.round(c, 9) for c in ("x_centre", "y_centre")})
 
 
 def density_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dated(density.density_by_day(_fit(spark, sf_dir), grid_size=GRID).withColumns({c: F.round(c, 9) for c in ("x_centre", "y_centre")}))
+    return _dated(density.density_by_day(_placed(spark, sf_dir), grid_size=GRID).withColumns({c: F.round(c, 9) for c in ("x_centre", "y_centre")}))
 
 
 def _histogram(bins: int | str):
@@ -237,7 +250,7 @@ def _histogram(bins: int | str):
 
 
 def map_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _fit(spark, sf_dir)
+    df = _placed(spark, sf_dir)
     box = density.extent(df)
     inside = density.within_extent(df, box).agg(F.count("*").alias("n_inside"))
     told = dict(zip(("west", "east", "south", "north", "bar_km"), (*box, density.scale_bar_km(box))))
@@ -246,7 +259,7 @@ def map_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def map_extent_zoomed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extents that a number as zoom, and the three to two aspect, give."""
-    df = _fit(spark, sf_dir)
+    df = density.bounds(_fit(spark, sf_dir))
     views = {f"{z}{' 3:2' if a else ''}": density.extent(df, z, aspect=a) for z in ("auto", 2, 20) for a in (False, True)}
     rows = [(k, *map(float, v), density.scale_bar_km(v)) for k, v in views.items()]
     return spark.createDataFrame(rows, "view string, west double, east double, south double, north double, bar_km double").select("view", *(F.round(c, 6).alias(c) for c in ("west", "east", "south", "north", "bar_km")))
@@ -263,7 +276,7 @@ def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kfold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean scores over folds of clusters that are cells of place and time: what is compared is the dealing and the scoring."""
-    df = _fit(spark, sf_dir)
+    df = _placed(spark, sf_dir)
     labels = df.where(F.col("collectingeventid") % 3 != 0).select("collectingeventid", F.floor("latitude1").alias("label"))
 
     def make(side: float, days: float):

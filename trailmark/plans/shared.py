@@ -14,6 +14,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of Parquet files for one task, some 200,000 narrow rows; sizes from the other one on are Spark's way to say that it knows none.
+PART_BYTES, UNKNOWN_BYTES = 4 << 20, 1 << 60
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder; where none is configured, a temporary one (local masters only)."""
@@ -36,6 +39,22 @@ def stored(df: DataFrame, label: str = "step") -> DataFrame:
     return out
 
 
+def parts_of(df: DataFrame) -> int:
+    """How many tasks to deal the rows of ``df`` to: one for each ``PART_BYTES`` of the files it reads, ``spark.sql.shuffle.partitions`` at least.
+
+    Tables whose size Spark does not know count as empty.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), sum(s for s in sizes if s < UNKNOWN_BYTES) // PART_BYTES)
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to so many tasks that none gets more as the input grows; small inputs are left as they are."""
+    n = parts_of(df)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def forget(df: DataFrame | None) -> None:
     """Delete a table made by :func:`stored` once nothing reads it any more."""
     path = getattr(df, "_stored_path", None)
