@@ -2,7 +2,9 @@
 
 import pytest
 
+from trailmark.operators import redact
 from trailmark.plans import adapter, catalogue, shared
+from trailmark.sources import tables as sources
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,7 +21,7 @@ def counted(df):
     return df.mapInArrow(run, df.schema), n
 
 
-@pytest.mark.parametrize("name", ["map_extent_zoomed"])
+@pytest.mark.parametrize("name", ["map_extent_zoomed", "verify_mask", "verify_drop", "drop_offenders", "redacted_share"])
 def test_queries_read_events_once(spark, monkeypatch, name):
     tables, counts = adapter.core_tables(spark, SF), []
 
@@ -43,3 +45,29 @@ def test_tasks_are_dealt_by_size(spark, tmp_path, monkeypatch):
     small, large = shared.parts_of(df), shared.parts_of(df.union(df))
     assert small > n and large == pytest.approx(2 * small, abs=1) and shared.dealt(df, "id").rdd.getNumPartitions() == small
     assert shared.parts_of(spark.createDataFrame([(1,)], "a int")) == n
+
+
+def test_flags_are_dealt_by_size_and_stay_the_same(spark, monkeypatch):
+    flags = lambda: redact.redaction_flags(sources.frames_source(adapter.core_tables(spark, SF)))
+    want = sorted(map(tuple, flags().collect()))
+    monkeypatch.setattr(shared, "PART_BYTES", 20_000)
+    got = flags()
+    assert got.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_flags_of_determinations_without_object_or_key(spark):
+    make = spark.createDataFrame
+    tables = {
+        "collectionobject": make([(1, 0), (2, 1), (3, None), (None, 0)], "CollectionObjectID long, YesNo2 int"),
+        "determination": make([(1, 7, 1), (1, 8, 1), (3, 7, 0), (None, 7, 1), (9, 7, 1)], "CollectionObjectID long, TaxonID long, IsCurrent int"),
+        "vtaxon2": make([(7, 1), (7, 1), (8, 0)], "TaxonID long, RedactLocality int"),
+    }
+    got = redact.redaction_flags(sources.frames_source(tables)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, 1), (2, 1), (3, 0), (None, 0)], key=repr)
+
+
+def test_conflicting_flags_fail_closed(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "collectionobjectid long, localityname string")
+    flags = spark.createDataFrame([(1, -1), (1, 0), (2, 0), (2, None)], "collectionobjectid long, is_redacted int")
+    assert {r[0]: r[1] for r in redact.masked(df, flags).collect()} == {1: "*", 2: "b"}

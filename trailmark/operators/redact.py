@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.convert import as_key
 from trailmark.operators.prepare import lower_names
+from trailmark.plans.shared import dealt
 from trailmark.schema import COORDINATES_SENSITIVE, TEXT_SENSITIVE
 from trailmark.sources.tables import Source, read_csv, write_csv
 
@@ -42,24 +43,23 @@ def redaction_flags(source: Source, ids: DataFrame | None = None) -> DataFrame:
 
     ``ids`` (one column) restricts the objects; without it all are flagged.
     """
-    objects = lower_names(source("collectionobject")).select(ID, "yesno2")
+    objects = lower_names(source("collectionobject")).select(ID, F.when(F.col("yesno2").cast("int") == 1, 1).otherwise(0).alias("_flag"), F.lit(1).alias("_known"))
     if ids is not None:
-        keys = ids.select(as_key(F.col(ids.columns[0])).alias(ID)).where(F.col(ID).isNotNull()).distinct()
-        objects = objects.join(keys, ID, "left_semi")
-    # the condition on the determination belongs to the join, not to its result
-    current = lower_names(source("determination")).where("iscurrent = 1").select(ID, "taxonid")
-    taxa = lower_names(source("vtaxon2")).select("taxonid", "redactlocality")
-    flag = F.when((F.col("yesno2").cast("int") == 1) | (F.col("redactlocality").cast("int") == 1), 1).otherwise(0)
-    return objects.join(current, ID, "left").join(taxa, "taxonid", "left").groupBy(ID).agg(F.max(flag).alias("is_redacted"))
+        keys = ids.select(as_key(F.col(ids.columns[0]), ids.dtypes[0][1]).alias(ID)).where(F.col(ID).isNotNull()).distinct()
+        objects = dealt(objects, ID).join(keys, ID, "left_semi")
+    # only determinations that flag are dealt; those of no object make no row
+    taxa = lower_names(source("vtaxon2")).where(F.col("redactlocality").cast("int") == 1).select("taxonid")
+    hits = lower_names(source("determination")).where("iscurrent = 1").join(taxa, "taxonid", "left_semi").where(F.col(ID).isNotNull()).select(ID, F.lit(1), F.lit(0))
+    return dealt(objects.unionAll(hits), ID).groupBy(ID).agg(F.max("_flag").alias("is_redacted"), F.max("_known").alias("_known")).where("_known = 1").drop("_known")
 
 
 def _flagged(df: DataFrame, flags: DataFrame, id_column: str) -> DataFrame:
     if id_column not in df.columns:
         raise KeyError(id_column)
-    keys = flags.select(as_key(F.col(flags.columns[0])).alias("_key"), F.col("is_redacted").cast("int").alias("_flag")).where("_key IS NOT NULL")
-    keys = keys.groupBy("_key").agg(F.max("_flag").alias("_flag"))  # conflicting flags fail closed
+    keys = flags.select(as_key(F.col(flags.columns[0]), flags.dtypes[0][1]).alias("_key"), F.col("is_redacted").cast("int").alias("_flag")).where("_key IS NOT NULL AND _flag <> 0")
+    keys = dealt(keys, "_key").groupBy("_key").agg(F.max("_flag").alias("_flag"))  # a flag of 0 is as none, so conflicting flags fail closed
     df = df.drop("is_redacted")
-    return df.join(keys, as_key(F.col(id_column)) == F.col("_key"), "left").drop("_key")
+    return df.join(keys, as_key(F.col(id_column), dict(df.dtypes)[id_column]) == F.col("_key"), "left").drop("_key")
 
 
 def _hit() -> Column:
