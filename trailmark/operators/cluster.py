@@ -20,15 +20,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from trailmark.functions.geo import chord, haversine_km, unit_vector
-from trailmark.operators.components import connected_components
+from trailmark.operators.components import connected_components, contracted
 from trailmark.operators.prepare import preprocess
-from trailmark.plans.shared import forget, stored
+from trailmark.plans.shared import forget, parts_of, stored
 
 #: Candidate pairs of undecided cells above which the components found so far are used to drop most of them.
 MANY_PAIRS = 20_000_000
 #: Links between cells up to which one task, of some 20 MB, finds the components.
 FEW_LINKS = 500_000
 
+#: Tiles are cubes of two to the power of this many cells on each side; the sphere passes through some 2,000 cells of one, so their links fit a task.
+TILE_BITS = 5
+
 #: Half of the neighbouring cells within two steps on each axis; the other half is met from the other side.
 _OFFSETS = [d for d in itertools.product(range(-2, 3), repeat=3) if d > (0, 0, 0)]
 
@@ -46,6 +49,12 @@ def _cells(nodes: DataFrame, e_dist: float) -> DataFrame:
     return nodes.withColumns({n: F.floor(v / F.lit(side)).cast("long") for n, v in zip(("cx", "cy", "cz"), (x, y, z))})
 
 
+def _cell_components(links: DataFrame) -> DataFrame:
+    """Components of links a - b.  The links of a tile, of neighbouring cells, lie in one task, which first puts in their stead one for each cell."""
+    tiled = links.repartition(parts_of(links), "tile").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    return connected_components(contracted(tiled), few=FEW_LINKS)
+
+
 def spatial_components(points: DataFrame, e_dist: float) -> DataFrame:
     """(block, lat, lon, label): components of ``points`` (block, lat, lon, id) within each block; label is the least id.
 
@@ -65,34 +74,36 @@ def spatial_components(points: DataFrame, e_dist: float) -> DataFrame:
     offsets = F.expr("array(" + ", ".join("named_struct('dx', {}L, 'dy', {}L, 'dz', {}L)".format(*d) for d in _OFFSETS) + ")")
     left = busy.select(*cell, "head", "hlat", "hlon", "n", F.explode(offsets).alias("d"))
     left = left.select("block", (F.col("cx") + F.col("d.dx")).alias("cx"), (F.col("cy") + F.col("d.dy")).alias("cy"), (F.col("cz") + F.col("d.dz")).alias("cz"), F.col("head").alias("a"), F.col("hlat").alias("alat"), F.col("hlon").alias("alon"), F.col("n").alias("an"))
-    pairs = stored(left.join(busy.select(*cell, F.col("head").alias("b"), F.col("hlat").alias("blat"), F.col("hlon").alias("blon"), F.col("n").alias("bn")), cell), "cellpairs")
+    tile = F.xxhash64("block", *(F.shiftright(c, TILE_BITS) for c in ("cx", "cy", "cz"))).alias("tile")
+    pairs = stored(left.join(busy.select(*cell, F.col("head").alias("b"), F.col("hlat").alias("blat"), F.col("hlon").alias("blon"), F.col("n").alias("bn")), cell).withColumn("tile", tile), "cellpairs")
     near = lambda a, b: haversine_km(F.col(f"{a}lat"), F.col(f"{a}lon"), F.col(f"{b}lat"), F.col(f"{b}lon")) <= F.lit(float(e_dist))
     head_of = nodes.join(heads.select(*cell, "head", "n"), cell).where("n > 1").select("head", F.col("lat").alias("mlat"), F.col("lon").alias("mlon"))
-    direct = pairs.where(near("a", "b")).select("a", "b")
+    link = ["a", "b", "tile"]
+    direct = pairs.where(near("a", "b")).select(*link)
     apart = pairs.where(~near("a", "b") & ((F.col("an") > 1) | (F.col("bn") > 1)))
-    first = apart.where("bn > 1").join(head_of.withColumnRenamed("head", "b"), "b").where(near("a", "m")).select("a", "b")
-    second = apart.where("an > 1").join(head_of.withColumnRenamed("head", "a"), "a").where(near("b", "m")).select("a", "b")
+    first = apart.where("bn > 1").join(head_of.withColumnRenamed("head", "b"), "b").where(near("a", "m")).select(*link)
+    second = apart.where("an > 1").join(head_of.withColumnRenamed("head", "a"), "a").where(near("b", "m")).select(*link)
     links = stored(direct.unionAll(first).unionAll(second).distinct(), "celllinks")
-    open_ = apart.where("an > 1 AND bn > 1").join(links, ["a", "b"], "left_anti").select("a", "b", "an", "bn")
+    open_ = apart.where("an > 1 AND bn > 1").join(links, ["a", "b"], "left_anti").select(*link, "an", "bn")
     volume = open_.agg(F.sum(F.col("an") * F.col("bn"))).first()[0] or 0
     if volume:
         if volume > MANY_PAIRS:
-            so_far = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), few=FEW_LINKS)
+            so_far = _cell_components(links)
             label = lambda side: open_label.join(so_far.select(F.col("node").alias(side), F.col("component").alias(f"{side}_of")), side, "left").withColumn(f"{side}_of", F.coalesce(f"{side}_of", side))
             open_label = open_
             for side in ("a", "b"):
                 open_label = label(side)
-            open_ = open_label.where("a_of <> b_of").select("a", "b")
+            open_ = open_label.where("a_of <> b_of").select(*link)
         full = (
-            open_.select("a", "b")
+            open_.select(*link)
             .join(head_of.select(F.col("head").alias("a"), F.col("mlat").alias("alat"), F.col("mlon").alias("alon")), "a")
             .join(head_of.select(F.col("head").alias("b"), F.col("mlat").alias("blat"), F.col("mlon").alias("blon")), "b")
-            .where(near("a", "b")).select("a", "b").distinct()
+            .where(near("a", "b")).select(*link).distinct()
         )
         more = stored(links.unionAll(full), "celllinks")
         forget(links)
         links = more
-    groups = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), few=FEW_LINKS)
+    groups = _cell_components(links)
     labelled = nodes.join(heads.select(*cell, "head"), cell).join(groups, F.col("head") == groups["node"], "left")
     out = stored(labelled.select("block", "lat", "lon", F.coalesce("component", "head").alias("label")), "spatial")
     for used in (pairs, links):
@@ -122,7 +133,7 @@ def by_time(points: DataFrame, e_days: float) -> DataFrame:
 
 
 def _points(df: DataFrame, *block: str) -> DataFrame:
-    """(id, lat, lon, day, block): the columns that clustering needs; ``block`` columns become one key, their least id."""
+    """(id, lat, lon, day, block): the columns that clustering needs; ``block`` columns become one key, their least id, and follow."""
     need = ["collectingeventid", "latitude1", "longitude1", "startdate", *block]
     missing = [c for c in need if c not in df.columns]
     if missing:
@@ -135,15 +146,14 @@ def _points(df: DataFrame, *block: str) -> DataFrame:
     )
     if not block:
         return rows.withColumn("block", F.lit(0).cast("long"))
-    keys = rows.groupBy(*block).agg(F.min("id").alias("block"))
-    same = [rows[c].eqNullSafe(keys[c]) for c in block]
-    return rows.join(keys, same).select("id", "lat", "lon", "day", "block")
+    names = {c: f"_of_{c}" for c in block}
+    keys = rows.groupBy(*(F.col(c).alias(n) for c, n in names.items())).agg(F.min("id").alias("block"))
+    return rows.join(keys, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]).select("id", "lat", "lon", "day", "block", *block)
 
 
 def dense_ids(keys: DataFrame, order: list[str], name: str) -> DataFrame:
     """Number distinct ``keys`` 0, 1, ... in ``order``, without sorting them in one task."""
-    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stored(keys.distinct().repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "keys")
+    ranged = stored(keys.distinct().repartitionByRange(parts_of(keys), *order).withColumn("_part", F.spark_partition_id()), "keys")
     sizes = {r["_part"]: r["count"] for r in ranged.groupBy("_part").count().collect()}  # a row for each partition
     starts, total = [], 0
     for part in range(max(sizes, default=-1) + 1):
@@ -162,15 +172,21 @@ def _numbered(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
 
 
 def spatial_dbscan(df: DataFrame, e_dist: float) -> DataFrame:
-    """Add spatial_cluster_id: components of places within ``e_dist`` km, numbered by their least event."""
-    return _numbered(df, by_place(_points(df), e_dist).select("id", "block"), "spatial_cluster_id")
+    """Add spatial_cluster_id: components of places within ``e_dist`` km, numbered by their least event.
+
+    What it returns also carries the components themselves, so that
+    :func:`iterative_clustering`, given just that, need not find them again.
+    """
+    placed = stored(by_place(_points(df), e_dist), "placed")
+    out = _numbered(df, placed, "spatial_cluster_id")
+    out._placed = (e_dist, df, placed)
+    return out
 
 
 def temporal_dbscan(df: DataFrame, e_days: float) -> DataFrame:
     """Add temporal_cluster_id: day islands within each spatial cluster, numbered from 0 there by their least event."""
-    found = by_time(_points(df, "spatial_cluster_id"), e_days).select("id", "block")
-    firsts = df.select(F.col("collectingeventid").alias("id"), "spatial_cluster_id").join(found, "id")
-    islands = firsts.select("spatial_cluster_id", "block").distinct()
+    found = stored(by_time(_points(df, "spatial_cluster_id"), e_days).select("id", "block", "spatial_cluster_id"), "islands")
+    islands = found.select("spatial_cluster_id", "block").distinct()
     rank = islands.withColumn("temporal_cluster_id", (F.row_number().over(Window.partitionBy("spatial_cluster_id").orderBy("block")) - 1).cast("long")).select("block", "temporal_cluster_id")
     label = found.join(rank, "block").select(F.col("id").alias("_id"), "temporal_cluster_id")
     return df.drop("temporal_cluster_id").join(label, df["collectingeventid"] == label["_id"], "left").drop("_id")
@@ -179,8 +195,8 @@ def temporal_dbscan(df: DataFrame, e_days: float) -> DataFrame:
 def _split(df: DataFrame, column: str, within: list[str], labels: DataFrame) -> DataFrame:
     """Give all but the first piece of each ``within`` group a new ``column`` id, from its maximum on, in order of group and piece."""
     top = df.agg(F.max(column)).first()[0]
-    rows = df.select(F.col("collectingeventid").alias("id"), *within).join(labels, "id")
-    pieces = rows.groupBy(*within, "block").agg(F.min("id").alias("first"))
+    labels = stored(labels.select("id", "block", *within), "pieces")
+    pieces = labels.groupBy(*within, "block").agg(F.min("id").alias("first"))
     base = pieces.groupBy(*within).agg(F.min("first").alias("least"))
     extra = pieces.join(base, within).where("first <> least").select("block", *within)
     fresh = dense_ids(extra, [*within, "block"], "_n").select("block", (F.col("_n") + F.lit((top if top is not None else -1) + 1)).alias("_new"))
@@ -191,7 +207,7 @@ def _split(df: DataFrame, column: str, within: list[str], labels: DataFrame) ->
 def spatial_reconnect_within_temporal(df: DataFrame, e_dist: float) -> DataFrame:
     """Split each (spatial, temporal) group into its spatial components; the first keeps the spatial id."""
     within = ["spatial_cluster_id", "temporal_cluster_id"]
-    return _split(df, "spatial_cluster_id", within, by_place(_points(df, *within), e_dist).select("id", "block"))
+    return _split(df, "spatial_cluster_id", within, by_place(_points(df, *within), e_dist))
 
 
 def temporal_recompute(df: DataFrame, e_days: float) -> DataFrame:
@@ -201,25 +217,25 @@ def temporal_recompute(df: DataFrame, e_days: float) -> DataFrame:
 def combine_clusters(df: DataFrame) -> DataFrame:
     """Add spatiotemporal_cluster_id: pairs of spatial and temporal id, numbered by their least event."""
     df = df.drop("spatiotemporal_cluster_id", "spatiotemporal_cluster_id_x", "spatiotemporal_cluster_id_y")
-    return _numbered(df, _points(df, "spatial_cluster_id", "temporal_cluster_id").select("id", "block"), "spatiotemporal_cluster_id")
+    return _numbered(df, stored(_points(df, "spatial_cluster_id", "temporal_cluster_id").select("id", "block"), "combined"), "spatiotemporal_cluster_id")
 
 
 def spatial_reconnect_within_spatiotemporal(df: DataFrame, e_dist: float) -> DataFrame:
     """Split each cluster into its spatial components; without that column nothing changes."""
     stc = "spatiotemporal_cluster_id"
-    return _split(df, stc, [stc], by_place(_points(df, stc), e_dist).select("id", "block")) if stc in df.columns else df
+    return _split(df, stc, [stc], by_place(_points(df, stc), e_dist)) if stc in df.columns else df
 
 
 def temporal_reconnect_within_spatiotemporal(df: DataFrame, e_days: float) -> DataFrame:
     """Split each cluster into its day islands; without that column nothing changes."""
     stc = "spatiotemporal_cluster_id"
-    return _split(df, stc, [stc], by_time(_points(df, stc), e_days).select("id", "block")) if stc in df.columns else df
+    return _split(df, stc, [stc], by_time(_points(df, stc), e_days)) if stc in df.columns else df
 
 
 def disconnects(df: DataFrame, e_dist: float, e_days: float) -> DataFrame:
     """spatiotemporal_cluster_id, size, n_spatial, n_temporal of every cluster."""
     stc = "spatiotemporal_cluster_id"
-    points = stored(_points(df, stc).join(df.select(F.col("collectingeventid").alias("id"), stc), "id"), "blocks")
+    points = stored(_points(df, stc), "blocks")
     place = by_place(points, e_dist).groupBy(stc).agg(F.count("*").alias("size"), F.count_distinct("block").alias("n_spatial"))
     time = by_time(points, e_days).groupBy(stc).agg(F.count_distinct("block").alias("n_temporal"))
     return place.join(time, stc)
@@ -229,22 +245,23 @@ def validate_connectivity(df: DataFrame, e_dist: float, e_days: float) -> DataFr
     """``df`` itself, or ValueError with up to ten samples if a cluster is disconnected in space or time."""
     if "spatiotemporal_cluster_id" not in df.columns:
         raise ValueError("missing column: spatiotemporal_cluster_id")
-    told = disconnects(df, e_dist, e_days)
+    told = stored(disconnects(df, e_dist, e_days), "told")
+    counts = told.agg(*(F.count_if(F.col(f"n_{kind}") > 1).alias(kind) for kind in ("spatial", "temporal"))).first()
     problems = []
-    for kind in ("spatial", "temporal"):
-        bad = told.where(F.col(f"n_{kind}") > 1)
-        n = bad.count()
+    for kind, n in counts.asDict().items():
         if n:
+            bad = told.where(F.col(f"n_{kind}") > 1)
             sample = bad.orderBy("spatiotemporal_cluster_id").limit(10).collect()
             shown = ", ".join(f"id={r[0]} comps={r[f'n_{kind}']} size={r['size']}" for r in sample)
             problems.append(f"{n} clusters are {'spatially' if kind == 'spatial' else 'temporally'} disconnected: {shown}")
+    forget(told)
     if problems:
         raise ValueError("; ".join(problems))
     return df
 
 
-def refine(points: DataFrame, e_dist: float, e_days: float, max_iter: int = 5) -> DataFrame:
-    """Fixpoint of splitting by place and by time: (id, lat, lon, day, block, spatial_key).
+def refine(placed: DataFrame, e_dist: float, e_days: float, max_iter: int = 5) -> DataFrame:
+    """Fixpoint of splitting by place and by time: (id, lat, lon, day, block, spatial_key), from ``placed``, the stored points in their spatial components.
 
     ``spatial_key`` is the spatial component that an event's piece was last cut
     from, or the piece's own key where it is not that component's first piece.
@@ -252,19 +269,22 @@ def refine(points: DataFrame, e_dist: float, e_days: float, max_iter: int = 5) -
     the fixpoint.  Splitting never merges, so equal block counts mean equal
     partitions.
     """
-    now = stored(by_place(points, e_dist).withColumn("spatial_key", F.col("block")), "refined")
+    now = placed.withColumn("spatial_key", F.col("block"))
+    first = now
     count = lambda df: df.agg(F.count_distinct("block")).first()[0]
     blocks, depth = count(now), 0
     while True:
         timed = stored(by_time(now, e_days), "refined")
         after_time = count(timed)
         if after_time == blocks:  # connected in place before, and still in one piece each
+            forget(timed)
             break
         # a group's first piece keeps its spatial key
         before = timed.withColumn("was", F.col("block"))
         placed = stored(by_place(before, e_dist).withColumn("spatial_key", F.when(F.col("block") == F.col("was"), F.col("spatial_key")).otherwise(F.col("block"))).drop("was"), "refined")
         forget(timed)
-        forget(now)
+        if now is not first:
+            forget(now)
         now, depth, after_place = placed, depth + 2, count(placed)
         blocks = after_place
         if after_place == after_time:
@@ -282,17 +302,20 @@ def iterative_clustering(df: DataFrame, e_dist: float, e_days: float, max_iter:
     _positive(e_dist=e_dist, e_days=e_days)
     if max_iter == 0:
         return df
-    points = stored(_points(df), "points")
-    final = refine(points, e_dist, e_days, max_iter)
-    forget(points)
-    by_key = final.select("id", "lat", "lon", "day", F.col("spatial_key").alias("block"))
-    time = by_time(by_key, e_days).select("id", F.col("block").alias("time_key"))
-    keyed = stored(final.join(time, "id").select(F.col("id").alias("_id"), "block", "spatial_key", "time_key"), "keyed")
+    found_at, without, placed = getattr(df, "_placed", (None, df, None))
+    own = None
+    if found_at != e_dist:
+        without, placed = df, (own := stored(by_place(_points(df), e_dist), "placed"))
+    final = refine(placed, e_dist, e_days, max_iter)
+    by_key = by_time(final.select("id", "day", "spatial_key", F.col("block").alias("_own"), F.col("spatial_key").alias("block")), e_days)
+    keyed = stored(by_key.select(F.col("id").alias("_id"), F.col("_own").alias("block"), "spatial_key", F.col("block").alias("time_key")), "keyed")
+    for used in (final, own):
+        forget(used)
     labels = keyed
     for key, name in (("block", "spatiotemporal_cluster_id"), ("spatial_key", "spatial_cluster_id"), ("time_key", "temporal_cluster_id")):
         labels = labels.join(dense_ids(keyed.select(key), [key], name), key)
     labels = labels.select("_id", "spatial_cluster_id", "temporal_cluster_id", "spatiotemporal_cluster_id", F.col("block").alias("cluster_key"))
-    clean = df.drop("spatial_cluster_id", "temporal_cluster_id", "spatiotemporal_cluster_id", "cluster_key")
+    clean = without.drop("spatial_cluster_id", "temporal_cluster_id", "spatiotemporal_cluster_id", "cluster_key")
     return clean.join(labels, clean["collectingeventid"] == labels["_id"]).drop("_id")
 
 
@@ -336,7 +359,7 @@ def create_pipeline(e_dist: float = 10.0, e_days: float = 7.0, max_iter: int = 5
     _positive(e_dist=e_dist, e_days=e_days)
     return Pipeline(
         (
-            ("preprocessor", lambda df: preprocess(df, as_of)),
+            ("preprocessor", lambda df: stored(preprocess(df, as_of), "fit")),  # the steps read it many times
             ("spatial_dbscan", lambda df: spatial_dbscan(df, e_dist)),
             ("iterative_spatiotemporal", lambda df: stored(iterative_clustering(df, e_dist, e_days, max_iter), "clustered")),
             ("validate_connectivity", lambda df: validate_connectivity(df, e_dist, e_days)),

@@ -47,15 +47,31 @@ def least_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             return nodes, nodes[label]
 
 
-def _in_one_task(links: DataFrame) -> DataFrame:
+def _least_nodes(links: DataFrame, names: str) -> DataFrame:
+    """Node and least node of its component within each partition of the two columns of ``links``."""
+    columns = names.split()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
         if table:
             made = least_labels(*(np.concatenate(c) for c in zip(*table)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=["node", "component"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=columns)
 
     ship(links.sparkSession)
-    return links.select("hi", "lo").coalesce(1).mapInArrow(run, "node long, component long")
+    return links.mapInArrow(run, ", ".join(f"{c} long" for c in columns))
+
+
+def contracted(links: DataFrame) -> DataFrame:
+    """Links ``(src, dst)`` with the components of ``links``, two columns of longs: within each partition, every node is linked to the least it is connected with.
+
+    A partition is held by its task, so the caller deals the links to enough of
+    them; dealt by neighbourhood, few are left.
+    """
+    return _least_nodes(links, "src dst").where("src <> dst")
+
+
+def _in_one_task(links: DataFrame) -> DataFrame:
+    return _least_nodes(links.select("hi", "lo").coalesce(1), "node component")
 
 
 def connected_components(links: DataFrame, max_rounds: int = 60, few: int = 0) -> DataFrame:
