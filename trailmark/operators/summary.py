@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from trailmark.plans.shared import stored
+from trailmark.plans.shared import forget, parts_of, stored
 
 STC = "spatiotemporal_cluster_id"
 
@@ -38,8 +38,7 @@ def trajectory_segments(df: DataFrame, cluster: str = STC, lat: str = "latitude1
     seconds = F.unix_seconds(F.col(time).cast("timestamp"))
     dated = df.where(F.col(time).isNotNull()).select(F.col(cluster).alias("_c"), F.col(time).alias("_time"), F.col(tie).alias("id"), F.col(lat).alias("lat"), F.col(lon).alias("lon"), seconds.alias("t"))
     order = ["_c", "_time", "id"]
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stored(dated.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "segments")
+    ranged = stored(dated.repartitionByRange(parts_of(dated), *order).withColumn("_part", F.spark_partition_id()), "segments")
     row = F.struct("id", "lat", "lon", "t")
     ranges = ranged.groupBy("_part").agg(F.min_by(F.struct("_c", row.alias("next")), F.struct(*order)).alias("first")).orderBy("_part")  # a row for each partition
     starts = ranges.collect()
@@ -70,7 +69,7 @@ def nearest_sizes(df: DataFrame, targets: list[int], cluster: str = STC) -> Data
 
     Each pick is one distributed top-1; targets are few.
     """
-    sizes = cluster_sizes(df, cluster)
+    sizes = stored(cluster_sizes(df, cluster), "sizes")
     spark, taken, rows = df.sparkSession, [], []
     for target in targets:
         left = sizes.where(~F.col(cluster).isin(taken)) if taken else sizes
@@ -78,4 +77,5 @@ def nearest_sizes(df: DataFrame, targets: list[int], cluster: str = STC) -> Data
         if pick:
             taken.append(pick[0][cluster])
             rows.append((target, pick[0][cluster], pick[0]["size"]))
+    forget(sizes)
     return spark.createDataFrame(rows, f"target int, {cluster} long, size long")
